@@ -19,6 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillgraph.llm.common import partitions, table
 
@@ -26,10 +27,12 @@ WINDOW = 50
 GRAM = 8
 SPAN = WINDOW - GRAM + 1  # grams in a window
 HALF = (WINDOW - GRAM) // 2  # a window has so many bytes before its minimiser or after it
-#: Minimisers are sought in so many bytes at a time, segments gathered from so many, buckets aim at so many.
-PART_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
-BUCKET_BYTES = 4 << 20
+#: Minimisers are sought in so many bytes at a time, segments gathered from so many, buckets aim at so many,
+#: and the segments of one or more buckets that may have something in common make a shard of about so many.
+PART_BYTES = 1 << 19
+BATCH_BYTES = 12 << 20
+BUCKET_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SWELL = 3.3  # bytes of segments to a byte of text
 #: Document id that stands for null; nothing is smaller because of it.
 NO_ID = np.iinfo("i8").max
@@ -104,37 +107,34 @@ def _induce_by_bucket(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, starts:
     return sa
 
 
-def _induce_one_by_one(s: list[int], is_s: list[bool], lms: list[int], starts: list[int]) -> list[int]:
-    """The same in two linear scans, for large alphabets whose buckets are small."""
-    sa = [-1] * len(s)
+def _induce_one_by_one(rises: list[int], falls: list[int], first: list[int], lms: list[int], starts: list[int]) -> list[int]:
+    """The same in two linear scans, for large alphabets whose buckets are small.
+
+    ``falls[i]`` and ``rises[i]`` are the symbol before i if that position is of
+    type L or S, else -1; one more entry, -1, is for places not filled yet.
+    ``first`` are the first symbols of ``lms``. Iterators over a list see what
+    is put into it ahead of them.
+    """
+    sa = [-1] * (len(rises) - 1)
     tail = starts[1:]
-    for i in reversed(lms):
-        tail[s[i]] -= 1
-        sa[tail[s[i]]] = i
+    for i, c in zip(reversed(lms), reversed(first)):
+        tail[c] -= 1
+        sa[tail[c]] = i
     head = starts[:-1]
-    for i in sa_scan(sa):
-        if i > 0 and not is_s[i - 1]:
-            c = s[i - 1]
+    for i in sa:
+        c = falls[i]
+        if c >= 0:
             sa[head[c]] = i - 1
             head[c] += 1
     tail = starts[1:]
-    for at in range(len(s) - 1, -1, -1):
-        i = sa[at]
-        if i > 0 and is_s[i - 1]:
-            c = s[i - 1]
+    for i in reversed(sa):
+        c = rises[i]
+        if c >= 0:
             tail[c] -= 1
             sa[tail[c]] = i - 1
     return sa
 
 
-def sa_scan(sa: list[int]) -> Iterator[int]:
-    """The entries from left to right, as they are when the scan gets there."""
-    at = 0
-    while at < len(sa):
-        yield sa[at]
-        at += 1
-
-
 def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     """Suffix array of ``s`` (values below ``symbols``, the last one 0 and the only 0) by induced sorting.
 
@@ -154,8 +154,11 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     if vector:
         induce = lambda order: _induce_by_bucket(s, is_s, order, starts)
     else:
-        as_lists = s.tolist(), is_s.tolist()
-        induce = lambda order: np.array(_induce_one_by_one(*as_lists, order.tolist(), starts.tolist()), np.int32)
+        rises, falls = np.full(n + 1, -1), np.full(n + 1, -1)
+        before = s[:-1].astype(np.int64)
+        rises[1:n], falls[1:n] = np.where(is_s[:-1], before, -1), np.where(is_s[:-1], -1, before)
+        as_lists = rises.tolist(), falls.tolist()
+        induce = lambda order: np.array(_induce_one_by_one(*as_lists, s[order].tolist(), order.tolist(), starts.tolist()), np.int32)
     found = induce(lms[np.argsort(s[lms], kind="stable")])
     ordered = found[is_lms[found]]
     # Names: equal LMS substrings get equal ones. Each reaches to the next LMS position and includes it.
@@ -234,7 +237,7 @@ def _powers(n: int, odd: int) -> np.ndarray:
 
 
 class Hasher:
-    """128-bit polynomial fingerprints of pieces of a byte array."""
+    """128-bit polynomial fingerprints of pieces of a byte array, of which a few megabytes at a time are best."""
 
     odds = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
     tables: dict = {}
@@ -307,55 +310,77 @@ def runs_of(order_keys: list[np.ndarray]) -> np.ndarray:
     return new
 
 
-RANGES = pa.schema([("bucket", pa.int32()), ("doc", pa.int64()), ("rid", pa.int64()), ("ranges", pa.binary()), ("part", pa.binary())])
-RANGES_DDL = "bucket int, doc long, rid long, ranges binary, part binary"
+ROWS = pa.schema([("bucket", pa.int32()), ("ranges", pa.binary()), ("part", pa.binary())])
+ROWS_DDL = "bucket int, ranges binary, part binary"
 
 
-def range_rows(doc: np.ndarray, rid: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple]:
-    """A row per document with its ranges packed, overlapping ones merged."""
+def joined_ranges(doc: np.ndarray, rid: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
+    """The ranges in order of document, overlapping and touching ones of a document made one."""
     if not len(doc):
-        return []
+        return [doc, rid, low, high]
     order = np.lexsort((low, rid, doc))
     doc, rid, low, high = doc[order], rid[order], low[order], high[order]
     new_doc = runs_of([doc, rid])
-    group = np.cumsum(new_doc)
-    reach = np.maximum.accumulate(high + group * (1 << 40)) - group * (1 << 40)
+    # The reach of all before in the same document: documents are set apart by more than any text is long.
+    apart = np.cumsum(new_doc) * (1 << 40)
+    reach = np.maximum.accumulate(high + apart) - apart
     new = new_doc.copy()
     new[1:] |= low[1:] > reach[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(low)) - 1
-    pairs = np.stack((low[first], reach[last]), 1).astype("<i8")
-    cut = np.flatnonzero(new_doc[first])
-    return [(int(doc[first[a]]), int(rid[first[a]]), pairs[a:b].tobytes()) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(first)])]
+    return [doc[first], rid[first], low[first], reach[np.append(first[1:], len(low)) - 1]]
+
+
+def bucket_of(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return ((doc.astype(np.uint64) * _A >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _range_batch(rows: list[tuple], buckets: int) -> pa.RecordBatch:
-    n = len(rows)
-    # These rows pass through the shuffle of segments to any bucket.
-    return pa.RecordBatch.from_arrays([pa.array([rid % buckets for _, rid, _ in rows], pa.int32()), pa.array([d for d, _, _ in rows], pa.int64()), pa.array([r for _, r, _ in rows], pa.int64()), pa.array([x for _, _, x in rows], pa.binary()), pa.nulls(n, pa.binary())], schema=RANGES)
+def _rows_of(rows: list[tuple]) -> pa.RecordBatch:
+    """(bucket, ranges, part) as Arrow."""
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], schema=ROWS)
 
 
-def _packed(arrays: list[np.ndarray], squeeze: zstandard.ZstdCompressor) -> bytes:
-    raw = b"".join(x.tobytes() for x in arrays)
-    head = np.array([len(x) for x in arrays], "<i8").tobytes()
-    return head + squeeze.compress(raw)
+def packed_ranges(columns: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Ranges by buckets of documents."""
+    columns = joined_ranges(*columns)
+    if not len(columns[0]):
+        return
+    bucket = bucket_of(columns[0], buckets)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    squeeze = zstandard.ZstdCompressor(level=3)
+    rows = [(b, _packed([c[order[edges[b] : edges[b + 1]]] for c in columns], RANGE_KINDS, squeeze), None) for b in np.flatnonzero(np.diff(edges)).tolist()]
+    for i in range(0, len(rows), 1000):
+        yield _rows_of(rows[i : i + 1000])
 
 
-#: A part: texts, windows, place of the minimiser, document, row, start. One entry per segment.
-KINDS = ("u1", "<i4", "<i4", "<i8", "<i8", "<i8")
+#: The columns of a part, one entry per segment in order of document: text bytes, windows, place of the
+#: minimiser, document, row, start; and those of packed ranges: document, row, low, high.
+PART_KINDS = ("u1", "u1", "u1", "<i8", "<i8", "<i8")
+RANGE_KINDS = ("<i8", "<i8", "<i8", "<i8")
 
 
-def _unpacked(part: bytes) -> list[np.ndarray]:
-    sizes = np.frombuffer(part[: 8 * len(KINDS)], "<i8")
-    raw, out, at = zstandard.decompress(part[8 * len(KINDS) :]), [], 0
-    for n, kind in zip(sizes.tolist(), KINDS):
-        step = n * np.dtype(kind).itemsize
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += step
+def _packed(columns: list[np.ndarray], kinds: tuple[str, ...], squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Columns by byte planes, which zstandard shortens much better than whole numbers; documents as steps."""
+    doc = kinds.index("<i8")
+    columns = [*columns[:doc], np.diff(columns[doc], prepend=0), *columns[doc + 1 :]]
+    planes = [np.ascontiguousarray(np.asarray(x, k)).view(np.uint8).reshape(len(x), -1).T.tobytes() for x, k in zip(columns, kinds)]
+    return np.array([len(x) for x in columns], "<i8").tobytes() + squeeze.compress(b"".join(planes))
+
+
+def _unpacked(part: bytes, kinds: tuple[str, ...], expand: zstandard.ZstdDecompressor) -> list[np.ndarray]:
+    sizes = np.frombuffer(part[: 8 * len(kinds)], "<i8")
+    raw, out, at = expand.decompress(part[8 * len(kinds) :]), [], 0
+    for n, kind in zip(sizes.tolist(), kinds):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(kind).reshape(n))
+        at += n * width
+    doc = kinds.index("<i8")
+    out[doc] = np.cumsum(out[doc])
     return out
 
 
-def _cutter(buckets: int):
+def _cutter(buckets: int, sample: bytes):
     """Texts to segments by bucket. Of equal segments in a batch, only those of the smallest document travel: the others are found already."""
 
     def units(batches):
@@ -366,45 +391,39 @@ def _cutter(buckets: int):
                     yield NO_ID if doc is None else doc, rid, offset, data[offset : offset + PART_BYTES + WINDOW - 1]
 
     def flush(parts):
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
         base, found = 0, []
         for datas, docs, rids, offsets in parts:
             data, lengths = np.frombuffer(b"".join(datas), np.uint8), np.array([len(x) for x in datas])
             ends = np.cumsum(lengths)
             begin, windows, place, minimiser = segments(data, ends)
             owner = np.searchsorted(ends, begin, "right")
-            found.append((begin + base, windows, place, minimiser, np.array(docs)[owner], np.array(rids)[owner], begin - (ends - lengths)[owner] + np.array(offsets)[owner]))
+            hashes = Hasher(data)(begin, begin + windows + WINDOW - 1)
+            found.append((*hashes, begin + base, windows, place, minimiser, np.array(docs)[owner], np.array(rids)[owner], begin - (ends - lengths)[owner] + np.array(offsets)[owner]))
             base += len(data)
         data = np.frombuffer(b"".join(b"".join(p[0]) for p in parts), np.uint8)
-        begin, windows, place, minimiser, doc, rid, start = (np.concatenate(x) for x in zip(*found))
-        h1, h2 = Hasher(data)(begin, begin + windows + WINDOW - 1)
+        h1, h2, begin, windows, place, minimiser, doc, rid, start = (np.concatenate(x) for x in zip(*found))
         bucket = (minimiser % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((doc, h2, h1))
         new = runs_of([h1[order], h2[order]])
         least = doc[order][new][np.cumsum(new) - 1]
         known = doc[order] > least
         again = order[known]
-        rows = range_rows(doc[again], rid[again], start[again], start[again] + windows[again] + WINDOW - 1)
-        for i in range(0, len(rows), 5000):
-            yield _range_batch(rows[i : i + 5000], buckets)
+        yield from packed_ranges([doc[again], rid[again], start[again], start[again] + windows[again] + WINDOW - 1], buckets)
         sent = order[~known]
-        sent = sent[np.argsort(bucket[sent], kind="stable")]
+        sent = sent[np.lexsort((start[sent], doc[sent], bucket[sent]))]
         edges = np.searchsorted(bucket[sent], np.arange(buckets + 1))
         out, size = [], 0
         for b in np.flatnonzero(np.diff(edges)).tolist():
             own = sent[edges[b] : edges[b + 1]]
             texts = gather(data, begin[own], windows[own] + WINDOW - 1)
-            part = _packed([texts, windows[own].astype("<i4"), place[own].astype("<i4"), doc[own], rid[own], start[own]], squeeze)
-            out.append((b, part))
+            part = _packed([texts, windows[own], place[own], doc[own], rid[own], start[own]], PART_KINDS, squeeze)
+            out.append((b, None, part))
             size += len(part)
             if size > 8 << 20:
-                yield of_parts(out)
+                yield _rows_of(out)
                 out, size = [], 0
-        yield of_parts(out)
-
-    def of_parts(out):
-        n = len(out)
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([p for _, p in out], pa.binary())], schema=RANGES)
+        yield _rows_of(out)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, total, now, size = [], 0, ([], [], [], []), 0
@@ -427,114 +446,167 @@ def _cutter(buckets: int):
     return cut
 
 
-def repeated(parts: list[bytes]) -> list[np.ndarray]:
-    """doc, rid, low, high of what the segments of one bucket have in common with smaller documents."""
-    columns = [np.concatenate(x) for x in zip(*map(_unpacked, parts))]
-    texts, windows, place, doc, rid, start = columns
+def candidates(parts: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of the segments of one bucket: ranges known to be repeated, and what may be so in part.
+
+    The former are doc, rid, low and high of segments that a smaller document has
+    as a whole. The latter are distinct texts (bytes, windows, smallest document)
+    that share enough with another one, and the rows of that document (which
+    text, doc, rid, start).
+    """
+    texts, windows, place, doc, rid, start = (np.concatenate(x) for x in zip(*parts))
     windows, place = windows.astype(np.int64), place.astype(np.int64)
     size = windows + WINDOW - 1
     begin = np.cumsum(size) - size
-    hashes = Hasher(texts)
-    h1, h2 = hashes(begin, begin + size)
+    # Windows of two texts can only be equal if both have the same bytes from HALF before the minimiser to its end, or from it to HALF behind it.
+    left, right = place >= HALF, size - place >= GRAM + HALF
+    h1, h2, left_key, right_key = (np.zeros(len(size), np.uint64) for _ in range(4))
+    edges = np.searchsorted(begin, np.arange(0, len(texts), 2 * PART_BYTES))
+    for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(size)]):
+        if i < j:
+            base, own = begin[i], slice(i, j)
+            hashes, b, p = Hasher(texts[base : begin[j - 1] + size[j - 1]]), begin[own] - base, place[own]
+            h1[own], h2[own] = hashes(b, b + size[own])
+            left_key[own] = hashes(b + np.where(left[own], p - HALF, 0), b + np.where(left[own], p + GRAM, 0))[0]
+            right_key[own] = hashes(b + np.where(right[own], p, 0), b + np.where(right[own], p + GRAM + HALF, 0))[0]
     order = np.lexsort((doc, h2, h1))
     new = runs_of([h1[order], h2[order]])
     heads = order[new]  # one of each text, of the smallest document
     text_of = np.empty(len(order), np.int64)
     text_of[order] = np.cumsum(new) - 1
-    least = doc[heads]
-    known = doc > least[text_of]
-    out = [[doc[known], rid[known], start[known], start[known] + size[known]]]
-    # Windows of two texts can only be equal if both have the same bytes from HALF before the minimiser to its end, or from it to HALF behind it.
-    b, w, p = begin[heads], windows[heads], place[heads]
+    known = doc > doc[heads][text_of]
     shared = np.zeros(len(heads), bool)
-    for low, high, there in ((b + p - HALF, b + p + GRAM, p >= HALF), (b + p, b + p + GRAM + HALF, w + WINDOW - 1 - p >= GRAM + HALF)):
+    for key, there in ((left_key[heads], left[heads]), (right_key[heads], right[heads])):
         some = np.flatnonzero(there)
-        key = hashes(low[some], high[some])[0]
-        by = np.argsort(key, kind="stable")
-        first = runs_of([key[by]])
+        by = np.argsort(key[some], kind="stable")
+        first = runs_of([key[some[by]]])
         alone = first & np.append(first[1:], True)
         shared[some[by[~alone]]] = True
-    chosen = np.flatnonzero(shared)
-    if len(chosen):
-        codes, first = window_groups(texts, b[chosen], w[chosen])
-        owner, at = codes >> 16, codes & 0xFFFF
-        group = np.cumsum(first) - 1
-        lowest = np.minimum.reduceat(least[chosen][owner], np.flatnonzero(first))[group]
-        hit = lowest < least[chosen][owner]
-        owner, at = owner[hit], at[hit]
-        # Back to the rows that sent these texts: those of the smallest document; the others are in already.
-        rows = np.flatnonzero(~known)
-        rows = rows[np.argsort(text_of[rows], kind="stable")]
-        edges = np.searchsorted(text_of[rows], np.arange(len(heads) + 1))
-        text = chosen[owner]
-        many = edges[text + 1] - edges[text]
-        row = rows[np.repeat(edges[text], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
-        low = start[row] + np.repeat(at, many)
-        out.append([doc[row], rid[row], low, low + WINDOW])
-    return [np.concatenate(x) for x in zip(*out)]
-
-
-def _finder(most: int = 1_000_000):
-    """Rows sorted by bucket to ranges by document; one bucket at a time is held."""
+    number = np.cumsum(shared) - 1
+    rows = np.flatnonzero(~known & shared[text_of])
+    chosen = heads[shared]
+    return (
+        [doc[known], rid[known], start[known], start[known] + size[known]],
+        [gather(texts, begin[chosen], size[chosen]), windows[chosen], doc[chosen], number[text_of[rows]], doc[rows], rid[rows], start[rows]],
+    )
+
+
+def repeated(shard: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """doc, rid, low, high of windows of the candidates of some buckets that smaller documents have too."""
+    shift = np.cumsum([0] + [len(x[1]) for x in shard])
+    texts, windows, least, _, doc, rid, start = (np.concatenate(x) for x in zip(*shard))
+    text_of = np.concatenate([x[3] + n for x, n in zip(shard, shift)])
+    size = windows + WINDOW - 1
+    codes, first = window_groups(texts, np.cumsum(size) - size, windows)
+    owner, at = codes >> 16, codes & 0xFFFF
+    lowest = np.minimum.reduceat(least[owner], np.flatnonzero(first))[np.cumsum(first) - 1]
+    hit = lowest < least[owner]
+    owner, at = owner[hit], at[hit]
+    rows = np.argsort(text_of, kind="stable")
+    edges = np.searchsorted(text_of[rows], np.arange(len(windows) + 1))
+    many = edges[owner + 1] - edges[owner]
+    row = rows[np.repeat(edges[owner], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
+    low = start[row] + np.repeat(at, many)
+    return joined_ranges(doc[row], rid[row], low, low + WINDOW)
+
+
+def _finder(buckets: int, sample: bytes, most: int = 1_000_000):
+    """Rows sorted by bucket to ranges by buckets of documents; one bucket and one shard at a time are held."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand, plain = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)), zstandard.ZstdDecompressor()
         held: list[list[np.ndarray]] = []
-        parts: list[bytes] = []
+        parts: list[list[np.ndarray]] = []
+        shard: list[list[np.ndarray]] = []
         current = None
 
-        def close():
-            nonlocal parts
+        def close(last=False):
+            nonlocal parts, shard
             if parts:
-                held.append(repeated(parts))
+                known, some = candidates(parts)
+                held.append(known)
                 parts = []
+                if len(some[1]):
+                    shard.append(some)
+            if shard and (last or sum(len(x[0]) for x in shard) >= SHARD_BYTES):
+                held.append(repeated(shard))
+                shard = []
 
         def flush():
-            rows = range_rows(*[np.concatenate(x) for x in zip(*held)]) if held else []
-            held.clear()
-            for i in range(0, len(rows), 5000):
-                yield _range_batch(rows[i : i + 5000], 1)
+            if held:
+                yield from packed_ranges([np.concatenate(x) for x in zip(*held)], buckets)
+                held.clear()
 
         for batch in batches:
-            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+            for bucket, ranges, part in zip(*(batch.column(c).to_pylist() for c in ("bucket", "ranges", "part"))):
                 if bucket != current:
                     close()
                     current = bucket
                     if sum(len(x[0]) for x in held) > most:
                         yield from flush()
-                part = batch.column("part")[i].as_py()
                 if part is not None:
-                    parts.append(part)
-                else:
-                    pairs = np.frombuffer(batch.column("ranges")[i].as_py(), "<i8").reshape(-1, 2)
-                    held.append([np.full(len(pairs), batch.column("doc")[i].as_py()), np.full(len(pairs), batch.column("rid")[i].as_py()), pairs[:, 0], pairs[:, 1]])
-        close()
+                    parts.append(_unpacked(part, PART_KINDS, expand))
+                if ranges is not None:
+                    held.append(_unpacked(ranges, RANGE_KINDS, plain))
+        close(last=True)
         yield from flush()
 
     return find
 
 
-def merged(blobs: list[bytes]) -> list[tuple[int, int]]:
-    """Maximal ranges from packed ones."""
-    out: list[tuple[int, int]] = []
-    for low, high in sorted(map(tuple, np.frombuffer(b"".join(blobs), "<i8").reshape(-1, 2).tolist())):
-        if out and low <= out[-1][1]:
-            out[-1] = (out[-1][0], max(high, out[-1][1]))
-        else:
-            out.append((low, high))
-    return out
+DOC_RANGES = pa.schema([("doc", pa.int64()), ("rid", pa.int64()), ("__ranges", pa.binary())])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket of documents to one row per document with all its ranges."""
+    plain = zstandard.ZstdDecompressor()
+    held: list[list[np.ndarray]] = []
+    current = None
+
+    def close():
+        if not held:
+            return
+        doc, rid, low, high = joined_ranges(*[np.concatenate(x) for x in zip(*held)])
+        held.clear()
+        pairs = np.stack((low, high), 1).astype("<i8")
+        cut = np.flatnonzero(runs_of([doc, rid]))
+        blobs = [pairs[a:b].tobytes() for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(doc)])]
+        for i in range(0, len(cut), 5000):
+            own = cut[i : i + 5000]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(rid[own]), pa.array(blobs[i : i + 5000], pa.binary())], schema=DOC_RANGES)
+
+    for batch in batches:
+        for bucket, ranges in zip(batch.column("bucket").to_pylist(), batch.column("ranges").to_pylist()):
+            if bucket != current:
+                yield from close()
+                current = bucket
+            held.append(_unpacked(ranges, RANGE_KINDS, plain))
+    yield from close()
+
+
+def spans_of(blob: bytes | None) -> list[list[int]]:
+    return [] if blob is None else np.frombuffer(blob, "<i8").reshape(-1, 2).tolist()
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with rid and ranges: packed byte ranges, by bucket, that smaller documents have too."""
+    """``docs`` (doc_id, text and any others) with ``__ranges``: packed byte ranges that smaller documents have too."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"))
+    names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    # A row is known by its doc_id, and by a hash of its text too if some doc_id comes twice.
+    again = docs.groupBy(F.col("doc_id").cast("long")).count().filter("count > 1").limit(1).count()
+    keys = F.col("doc_id").cast("long"), F.xxhash64("text") if again else F.lit(0).cast("long")
+    rows = docs.select(keys[0].alias("doc_id"), "text", keys[1].alias("rid"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffled = partitions(spark)
     buckets = max(shuffled, int(total * SWELL / BUCKET_BYTES))
-    sent = rows.mapInArrow(_cutter(buckets), RANGES_DDL)
-    found = sent.repartition(shuffled, "bucket").sortWithinPartitions("bucket").mapInArrow(_finder(), RANGES_DDL)
-    ranges = found.groupBy("doc", "rid").agg(F.collect_list("ranges").alias("ranges")).withColumnRenamed("rid", "r")
-    return rows.join(ranges, (F.coalesce("doc_id", F.lit(int(NO_ID))) == F.col("doc")) & (F.col("rid") == F.col("r")), "left").select("doc_id", "text", "rid", "ranges")
+    # A bounded sample of text as a dictionary for what is shipped; it changes sizes, not results.
+    sample = "\n".join(r[0] for r in rows.select(F.substring("text", 1, 1500)).filter("text IS NOT NULL").limit(40).collect()).encode() or b"none"
+    sent = rows.mapInArrow(_cutter(buckets, sample), ROWS_DDL)
+    found = sent.repartition(shuffled, "bucket").sortWithinPartitions("bucket").mapInArrow(_finder(buckets, sample), ROWS_DDL)
+    ranges = found.repartition(shuffled, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, "doc long, rid long, __ranges binary")
+    whole = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.coalesce(keys[0], F.lit(int(NO_ID))).alias("__doc"), keys[1].alias("__rid"))
+    out = whole.join(ranges, (F.col("__doc") == F.col("doc")) & (F.col("__rid") == F.col("rid")), "left")
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()], "__ranges")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -551,8 +623,8 @@ def removals(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         for batch in batches:
             rows = []
-            for text, blobs in zip(batch.column("text"), batch.column("ranges")):
-                data, spans = (text.as_py() or "").encode(), merged(blobs.as_py() or [])
+            for text, blob in zip(batch.column("text"), batch.column("__ranges")):
+                data, spans = (text.as_py() or "").encode(), spans_of(blob.as_py())
                 kept, at = hashlib.sha256(), 0
                 for low, high in spans:
                     kept.update(data[at:low])
@@ -562,10 +634,11 @@ def removals(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], names=names)
 
-    return repeats(docs).select("doc_id", "text", "ranges").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return found.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def kept_text(text: str | None, spans: list[tuple[int, int]]) -> str | None:
+def kept_text(text: str | None, spans: list[list[int]]) -> str | None:
     """The text without the spans; characters cut through go whole."""
     if not spans:
         return text
@@ -577,5 +650,28 @@ def kept_text(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     return "".join(x.decode("utf-8", "ignore") for x in out)
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, any others) with the repeated bytes taken out of their texts; documents left empty by that go.
+
+    A character that is cut through goes whole. n_chars, if there is one, follows the text.
+    """
+    inner = repeats(docs)
+    at = inner.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, gone = [], []
+            for text, blob in zip(batch.column(at), batch.column(batch.num_columns - 1)):
+                spans = spans_of(blob.as_py())
+                texts.append(kept_text(text.as_py(), spans))
+                gone.append(bool(spans) and not texts[-1])
+            columns = [*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 : -1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.bool_())], names=[*batch.schema.names[:-1], "__gone"])
+
+    schema = T.StructType([*inner.schema.fields[:-1], T.StructField("__gone", T.BooleanType())])
+    out = inner.mapInArrow(cut, schema).filter(~F.col("__gone"))
+    return out.select(*[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
+
+
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return removals(table(spark, sf_dir, "documents").select("doc_id", "text"))
