@@ -199,15 +199,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed BIGINT) of every row of docs (doc_id, text)."""
+    """doc_id, rid (a hash of doc_id and text) and fp (the fingerprint as a signed BIGINT) of every row of docs (doc_id, text)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x.as_py()) for x in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(found.view(np.int64))], names=["doc_id", "rid", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(score, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), "text")
+    return rows.mapInArrow(score, "doc_id long, rid long, fp long")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -233,13 +233,15 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, fingerprint (16 hex digits), component_id, rid and component of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id reachable over fingerprints that differ
     in at most RADIUS bits. Texts without words, null texts among them, have
     fingerprint zero and link like any other. Null doc_ids never become a
     component_id unless a component has no other. Rows with the same doc_id are
     rows of their own. An empty table gives no rows; other columns are ignored.
+    rid is a hash of doc_id and text, component a fingerprint that names the
+    component.
     """
     prints = written(fingerprints(docs), "simhash")
     # Unsigned order in Python and signed order here differ, which is no matter: any order of nodes will do.
@@ -251,9 +253,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The roots of linked fingerprints are few rows beside the documents; the least doc_id of each comes from one aggregation.
     placed = prints.join(root, prints["fp"] == root["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r")
-    out = placed.join(least, placed["root"] == least["r"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = placed.join(least, placed["root"] == least["r"]).drop("r")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "rid", F.col("root").alias("component"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the one of smallest doc_id.
+
+    Of rows with the same doc_id the one of smallest hash stays, of rows alike in
+    doc_id and text any one. A component without any doc_id keeps one row too.
+    """
+    names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    found = near_duplicates(docs.select("doc_id", "text"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("r"))
+    kept = found.groupBy("component", "component_id").agg(F.min(first).alias("first")).select(F.col("first.r").alias("__r"))
+    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.xxhash64(F.col("doc_id").cast("long"), "text").alias("__rid"))
+    rows = rows.join(kept, F.col("__rid") == F.col("__r")).dropDuplicates(["__rid"])
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
