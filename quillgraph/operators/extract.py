@@ -9,44 +9,52 @@ from quillgraph.functions import text as tx
 from quillgraph.schema import REFERENCE
 
 
-def _ends(c: Column, marks: str) -> Column:
-    return F.substring(c, -1, 1).isin(*marks)
+#: How each part of a citation text is joined to what is before it: field, rule, text in front, text behind.
+PARTS = (
+    ("title", "dot", "", ""),
+    ("editors", "dot", "", " (Eds.)"),
+    ("journalAbbreviation", "venue", "", ""),
+    ("publicationTitle", "venue", "", ""),
+    ("seriesName", "venue", "", ""),
+    ("volume", ",", "", ""),
+    ("issue", "issue", "", ""),
+    ("pageInfo", ":", "", ""),
+    ("edition", ".", "", ""),
+    ("doi", "dot", "https://doi.org/", ""),
+)
 
 
 def citation_text(entry: dict[str, Column]) -> tuple[Column, Column]:
     """[EX-03, EX-04] Citation text and process_entry of a structured reference.
 
-    Parts are added in a fixed order; what stands between two depends on how the
-    text so far ends. Without an author (or with an unknown one) the unstructured
-    text counts, without markup; process_entry is false where year or title is missing.
+    Parts are added in a fixed order, in one pass over an array of them; what
+    stands between two depends on how the text so far ends. Without an author (or
+    with an unknown one) the unstructured text counts, without markup;
+    process_entry is false where year or title is missing.
     """
     col = lambda n: entry.get(n, F.lit(None).cast("string"))
-    has = lambda n: ~tx.is_blank(col(n))
-    value = lambda n: F.trim(col(n))
-    year = F.try_to_number(col("pubYear").cast("string"), F.lit("9999")) if "pubYear" in entry else F.lit(None).cast("int")
-    author = col("authorString")
+    year = entry["pubYear"].cast("int") if "pubYear" in entry else F.lit(None).cast("int")
+    author, loose = col("authorString"), col("unstructuredInformation")
     known = author.isNotNull() & (F.lower(author) != "author unknown")
-    out = F.concat(author, F.when(year > 0, F.concat(F.lit(" ("), year.cast("string"), F.lit(")"))).otherwise(""))
-
-    def add(text, name, join, before="", after=""):
-        return F.when(has(name), F.concat(text, join(text), F.lit(" " + before), value(name), F.lit(after))).otherwise(text)
-
-    dot = lambda t: F.when(_ends(t, "."), "").otherwise(".")
-    stop = lambda mark: lambda t: F.when(_ends(t, ".?!"), "").otherwise(mark)
-    venue = lambda t: F.when(t.endswith("(Eds.)"), ",").when(_ends(t, ".?!"), "").otherwise(".")
-    out = add(out, "title", dot)
-    out = add(out, "editors", dot, after=" (Eds.)")
-    for name in ("journalAbbreviation", "publicationTitle", "seriesName"):
-        out = add(out, name, venue)
-    out = add(out, "volume", stop(","))
-    digit = F.substring(out, -1, 1).rlike("[0-9]")
-    out = F.when(has("issue"), F.concat(out, F.when(digit, F.lit(" (")).otherwise(" "), value("issue"), F.when(digit, F.lit(")")).otherwise(""))).otherwise(out)
-    out = add(out, "pageInfo", stop(":"))
-    out = add(out, "edition", stop("."))
-    out = add(out, "doi", dot, before="https://doi.org/")
-    loose = ~tx.is_blank(col("unstructuredInformation"))
-    text = F.when(known, out).when(loose, tx.strip_html(value("unstructuredInformation")))
-    return text, F.when(known, F.coalesce(year > 0, F.lit(False)) & has("title")).when(loose, F.lit(True))
+    start = F.concat(author, F.when(year > 0, F.concat(F.lit(" ("), year.cast("string"), F.lit(")"))).otherwise(""))
+    parts = F.array(*[F.struct(F.trim(col(n)).alias("v"), F.lit(rule).alias("rule"), F.lit(before).alias("before"), F.lit(after).alias("after")) for n, rule, before, after in PARTS])
+
+    def add(text, part):
+        last, rule = F.substring(text, -1, 1), part["rule"]
+        stopped, digit = last.isin(".", "?", "!"), last.rlike("[0-9]")
+        mark = (
+            F.when(rule == "issue", "")
+            .when(rule == "dot", F.when(last == ".", "").otherwise("."))
+            .when((rule == "venue") & text.endswith("(Eds.)"), ",")
+            .when(stopped, "")
+            .when(rule == "venue", ".")
+            .otherwise(rule)
+        )
+        value = F.when((rule == "issue") & digit, F.concat(F.lit("("), part["v"], F.lit(")"))).otherwise(part["v"])
+        return F.when(tx.is_blank(part["v"]), text).otherwise(F.concat(text, mark, F.lit(" "), part["before"], value, part["after"]))
+
+    text = F.when(known, F.aggregate(parts, start, add)).when(~tx.is_blank(loose), tx.strip_html(F.trim(loose)))
+    return text, F.when(known, F.coalesce(year > 0, F.lit(False)) & ~tx.is_blank(col("title"))).when(~tx.is_blank(loose), F.lit(True))
 
 
 def reference_ids(own: dict[str, Column], looked_up: dict[str, Column], matched: Column) -> dict[str, Column]:
