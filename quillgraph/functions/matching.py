@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillgraph.functions.text import search_words
 
@@ -67,7 +68,7 @@ def partial_ratio(a: str, b: str) -> float:
     return 100 * best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 

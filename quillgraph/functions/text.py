@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Patterns of identifiers, as the formats demand them.
 DOI_IN_TEXT = r'[^A-z0-9\.](10\.[0-9]+(\.[0-9]+)*/[^%"# \?<>{}\^\[\]`\|\\\+]+)'
@@ -26,7 +27,7 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ascii(values: pd.Series) -> pd.Series:
     there = values.notna()
     return values.where(~there, values[there].str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii"))

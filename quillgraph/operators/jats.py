@@ -1,7 +1,7 @@
 """Article XML: references, in-text pointers, sentences and discourse elements [SRC-04, EX-02, EX-14, EX-15, PT-*].
 
-Each article is parsed once, in a pandas-free map over partitions; everything
-else is DataFrame work over the rows that come out of it.
+Each article is parsed once, in a map over Arrow batches; everything else is
+DataFrame work over the rows that come out of it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,24 +152,22 @@ def pointers(root) -> list[tuple]:
     return out
 
 
-def _mapped(articles: DataFrame, rows_of, ddl: str) -> DataFrame:
-    """``articles`` (doc, xml) to rows; an article that cannot be parsed gives none (see :func:`broken`)."""
-    import pandas as pd
+def _mapped(articles: DataFrame, rows_of, ddl: str, of_broken=None) -> DataFrame:
+    """``articles`` (doc, xml) to rows; an article that cannot be parsed gives those of ``of_broken``, or none (see :func:`broken`)."""
+    schema = pa.schema([(n, {"string": pa.string(), "int": pa.int32()}[t]) for n, t in (x.split() for x in ddl.split(", "))])
 
-    names = [x.split()[0] for x in ddl.split(", ")]
-
-    def run(frames: Iterator) -> Iterator:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for doc, xml in zip(frame["doc"], frame["xml"]):
+            for doc, xml in zip(batch.column("doc").to_pylist(), batch.column("xml").to_pylist()):
                 try:
-                    root = parse(xml)
+                    found = rows_of(parse(xml))
                 except (ElementTree.ParseError, TypeError):
-                    continue
-                rows += [(doc, *r) for r in rows_of(root)]
-            yield pd.DataFrame(rows, columns=names)
+                    found = of_broken or []
+                rows += [(doc, *r) for r in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    return articles.select("doc", "xml").mapInPandas(run, ddl)
+    return articles.select("doc", "xml").mapInArrow(run, ddl)
 
 
 def extract_references(articles: DataFrame) -> DataFrame:
@@ -186,19 +185,7 @@ def article_doi(articles: DataFrame) -> DataFrame:
 
 def broken(articles: DataFrame) -> DataFrame:
     """doc of articles that cannot be parsed."""
-    import pandas as pd
-
-    def run(frames):
-        for frame in frames:
-            bad = []
-            for doc, xml in zip(frame["doc"], frame["xml"]):
-                try:
-                    parse(xml)
-                except (ElementTree.ParseError, TypeError):
-                    bad.append(doc)
-            yield pd.DataFrame({"doc": bad})
-
-    return articles.select("doc", "xml").mapInPandas(run, "doc string")
+    return _mapped(articles, lambda root: [], "doc string", [()])
 
 
 def census(articles: DataFrame) -> DataFrame:

@@ -40,7 +40,8 @@ def parse_statements(lines: DataFrame) -> DataFrame:
     at = lambda k: F.regexp_extract("value", STATEMENT, k)
     rows = lines.filter(F.col("value").rlike(STATEMENT))
     text = at(5)
-    for old, new in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ('\\"', '"'), ("\\\\", "\\")):
+    # Escaped backslashes first, out of the way of what follows them.
+    for old, new in (("\\\\", "\0"), ("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ('\\"', '"'), ("\0", "\\")):
         text = F.replace(text, F.lit(old), F.lit(new))
     is_iri = at(3).startswith("<")
     return rows.select(F.nullif(at(7), F.lit("")).alias("g"), at(1).alias("s"), at(2).alias("p"), F.when(is_iri, at(4)).otherwise(text).alias("o"), F.when(is_iri, "iri").otherwise("lit").alias("o_kind"), F.nullif(at(6), F.lit("")).alias("o_dt"))
