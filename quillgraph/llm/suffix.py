@@ -3,6 +3,8 @@
 Every window of ``WINDOW`` bytes is dealt to a bucket by its minimiser: the
 8-byte gram in it with the least hash. Equal windows have equal minimisers, so
 a bucket sees all windows it needs and no document meets another one by itself.
+Grams that a sample shows to be in many documents are passed over where the
+window has another, lest the contexts of a common phrase meet in one bucket.
 Neighbouring windows with the same minimiser travel as one segment. Each bucket
 is a shard: its segments are concatenated, their suffix array is made by induced
 sorting, and permuted common prefixes tell which windows are equal. A window
@@ -38,6 +40,11 @@ SWELL = 3.3  # bytes of segments to a byte of text
 NO_ID = np.iinfo("i8").max
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
 _AT = np.uint64((1 << 22) - 1)
+_LATE = np.uint64(1 << 63)
+#: At most so many frequent grams are passed over, found in about so many documents. They change where
+#: windows meet, and no result.
+FREQUENT = 4096
+FREQUENT_SAMPLE = 3000
 
 
 # --- suffix arrays -------------------------------------------------------------------------------
@@ -264,18 +271,32 @@ class Hasher:
         return out
 
 
-def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def grams_of(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the GRAM bytes from each place on."""
+    grams = np.ndarray((len(data) - GRAM + 1,), "<u8", data, 0, (1,)) * _A
+    grams ^= grams >> np.uint64(32)
+    grams *= _B
+    return grams
+
+
+def segments(data: np.ndarray, ends: np.ndarray, frequent: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """begin, windows, place of the minimiser after begin, and its hash, of the segments of texts that end at ``ends``.
 
-    The minimiser of a window is its leftmost gram of the least 42-bit hash, which depends on the window's bytes alone.
+    The minimiser of a window is its leftmost gram of the least 41-bit hash, with
+    ``frequent`` ones (sorted) behind all others; it depends on the window's bytes
+    alone.
     """
     n, none = len(data), np.zeros(0, np.int64)
     if n < WINDOW:
         return none, none, none, none.astype(np.uint64)
-    grams = np.ndarray((n - GRAM + 1,), "<u8", data, 0, (1,)) * _A
-    grams ^= grams >> np.uint64(32)
-    grams *= _B
-    least = (grams & ~_AT) | np.arange(len(grams), dtype=np.uint64)
+    grams = grams_of(data)
+    least = (grams >> np.uint64(1) & ~_AT) | np.arange(len(grams), dtype=np.uint64)
+    if len(frequent):
+        low = np.zeros(1 << 16, bool)
+        low[frequent & np.uint64(0xFFFF)] = True
+        some = np.flatnonzero(low[(grams & np.uint64(0xFFFF)).astype(np.int64)])
+        found = np.minimum(np.searchsorted(frequent, grams[some]), len(frequent) - 1)
+        least[some[frequent[found] == grams[some]]] |= _LATE
     width = 1
     while 2 * width <= SPAN:
         least = np.minimum(least[:-width], least[width:])
@@ -380,7 +401,29 @@ def _unpacked(part: bytes, kinds: tuple[str, ...], expand: zstandard.ZstdDecompr
     return out
 
 
-def _cutter(buckets: int, sample: bytes):
+def frequent_grams(rows: DataFrame, most: int = FREQUENT) -> np.ndarray:
+    """Sorted hashes of the grams that are in most documents of a sample of ``rows`` (doc_id, text), bounded in number."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            for text in batch.column("text"):
+                data = np.frombuffer((text.as_py() or "").encode()[: 1 << 20], np.uint8)
+                if len(data) >= WINDOW:
+                    found.append(np.unique(grams_of(data)))
+        grams, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        # Only those that a share of the documents here has; at least two.
+        keep = n >= max(2, len(found) // 200)
+        yield pa.RecordBatch.from_arrays([pa.array(grams[keep].view(np.int64)), pa.array(n[keep])], names=["gram", "n"])
+
+    total = rows.count()
+    share = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FREQUENT_SAMPLE / max(1, total)))
+    seen = rows.filter(share).select("text").coalesce(max(1, min(8, total // 500))).mapInArrow(count, "gram long, n long")
+    top = seen.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "gram").limit(most)
+    return np.sort(np.array([r["gram"] for r in top.collect()], np.int64).view(np.uint64))
+
+
+def _cutter(buckets: int, sample: bytes, frequent: np.ndarray = np.zeros(0, np.uint64)):
     """Texts to segments by bucket. Of equal segments in a batch, only those of the smallest document travel: the others are found already."""
 
     def units(batches):
@@ -396,7 +439,7 @@ def _cutter(buckets: int, sample: bytes):
         for datas, docs, rids, offsets in parts:
             data, lengths = np.frombuffer(b"".join(datas), np.uint8), np.array([len(x) for x in datas])
             ends = np.cumsum(lengths)
-            begin, windows, place, minimiser = segments(data, ends)
+            begin, windows, place, minimiser = segments(data, ends, frequent)
             owner = np.searchsorted(ends, begin, "right")
             hashes = Hasher(data)(begin, begin + windows + WINDOW - 1)
             found.append((*hashes, begin + base, windows, place, minimiser, np.array(docs)[owner], np.array(rids)[owner], begin - (ends - lengths)[owner] + np.array(offsets)[owner]))
@@ -601,7 +644,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     buckets = max(shuffled, int(total * SWELL / BUCKET_BYTES))
     # A bounded sample of text as a dictionary for what is shipped; it changes sizes, not results.
     sample = "\n".join(r[0] for r in rows.select(F.substring("text", 1, 1500)).filter("text IS NOT NULL").limit(40).collect()).encode() or b"none"
-    sent = rows.mapInArrow(_cutter(buckets, sample), ROWS_DDL)
+    sent = rows.mapInArrow(_cutter(buckets, sample, frequent_grams(rows)), ROWS_DDL)
     found = sent.repartition(shuffled, "bucket").sortWithinPartitions("bucket").mapInArrow(_finder(buckets, sample), ROWS_DDL)
     ranges = found.repartition(shuffled, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, "doc long, rid long, __ranges binary")
     whole = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.coalesce(keys[0], F.lit(int(NO_ID))).alias("__doc"), keys[1].alias("__rid"))
