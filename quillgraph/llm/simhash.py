@@ -252,7 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = components(sorted_.mapInArrow(_compare, "a long, b long"))
     # The roots of linked fingerprints are few rows beside the documents; the least doc_id of each comes from one aggregation.
     placed = prints.join(root, prints["fp"] == root["node"], "left").withColumn("root", F.coalesce("root", "fp"))
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r")
+    # Written, so that the join shuffles both sides itself and can split the rows of a very large component.
+    least = written(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r"), "least")
     out = placed.join(least, placed["root"] == least["r"]).drop("r")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "rid", F.col("root").alias("component"))
 
