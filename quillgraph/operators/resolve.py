@@ -77,10 +77,26 @@ def already_stored(articles: DataFrame, stored: DataFrame, ids: list[str]) -> Da
     return articles.join(known, "article", "left_anti")
 
 
-def round_robin(df: DataFrame, order: list[Column], suppliers: list[str], number: Column | None = None) -> DataFrame:
-    """[EX-11] ``df`` with supplier, dealt in turn by a given gapless number from 1 or else by the order."""
-    n = number if number is not None else F.row_number().over(Window.orderBy(*order))
-    return df.withColumn("supplier", F.element_at(F.array(*[F.lit(s) for s in suppliers]), (F.pmod(n - 1, F.lit(len(suppliers))) + 1).cast("int")))
+def numbered_in_order(df: DataFrame, key: str, name: str, chunks: int = 64) -> DataFrame:
+    """``df`` with a gapless number from 1 in order of a numeric key, ties in any order, nulls last.
+
+    Rows are dealt by the key's quantiles, numbered in each range, and shifted by
+    the sizes of the ranges before, so no task sorts the whole table.
+    """
+    marks = df.agg(F.percentile_approx(key, [i / chunks for i in range(1, chunks)], 10_000).alias("m")).first()["m"] or []
+    b = F.lit(0)
+    for mark in sorted(set(marks)):
+        b = b + F.when(F.coalesce(F.col(key) > mark, F.lit(True)), 1).otherwise(0)
+    rows = df.withColumn("__b", b)
+    starts = rows.groupBy("__b").count().withColumn("__start", F.coalesce(F.sum("count").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
+    out = rows.withColumn("__n", F.row_number().over(Window.partitionBy("__b").orderBy(F.col(key).asc_nulls_last()))).join(F.broadcast(starts), "__b")  # one row per chunk
+    return out.withColumn(name, F.col("__start") + F.col("__n")).drop("__b", "__n", "__start")
+
+
+def round_robin(df: DataFrame, key: str, suppliers: list[str]) -> DataFrame:
+    """[EX-11] ``df`` with supplier, dealt in turn in order of a numeric key."""
+    rows = numbered_in_order(df, key, "__turn")
+    return rows.withColumn("supplier", F.element_at(F.array(*[F.lit(s) for s in suppliers]), (F.pmod(F.col("__turn") - 1, F.lit(len(suppliers))) + 1).cast("int"))).drop("__turn")
 
 
 def without_self_citations(refs: DataFrame, citing: str, cited: str) -> DataFrame:
@@ -89,12 +105,12 @@ def without_self_citations(refs: DataFrame, citing: str, cited: str) -> DataFram
 
 
 def numbered(df: DataFrame, last: DataFrame, kind: str, order: list[Column], chunks: int = 64) -> DataFrame:
-    """[RS-35, ST-06] ``df`` with num: going on from the last number of each class (kind, last), in total order without gaps.
+    """[RS-35, ST-06] ``df`` with num: going on from the last number of each class (kind, last), without gaps, the same on every run.
 
-    Rows are dealt over range partitions by their order key, so no task numbers them all.
+    Rows are dealt by a hash of their order key, numbered in each chunk, and
+    shifted by the sizes of the chunks before, so no task numbers them all.
     """
     base = last.select(F.col(kind).alias("__k"), F.col("last").alias("__last"))
-    # Chunks by a hash of the key, numbered on their own and shifted by the sizes of those before.
     b = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(chunks)))
     sizes = b.groupBy(kind, "__b").count().withColumn("__start", F.coalesce(F.sum("count").over(Window.partitionBy(kind).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
     out = b.withColumn("__n", F.row_number().over(Window.partitionBy(kind, "__b").orderBy(*order))).join(sizes, [kind, "__b"])

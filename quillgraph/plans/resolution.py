@@ -146,7 +146,7 @@ def already_processed(c):
 @query("SELECT s_suppkey, ['0110', '0120', '0130'][1 + CAST((row_number() OVER (ORDER BY s_suppkey) - 1) % 3 AS INT)] AS supplier FROM supplier", corpus=False)
 def round_robin_supplier(c):
     """[EX-11]"""
-    return rs.round_robin(c.table("supplier").select("s_suppkey"), [F.col("s_suppkey")], ["0110", "0120", "0130"])
+    return rs.round_robin(c.table("supplier").select("s_suppkey"), "s_suppkey", ["0110", "0120", "0130"])
 
 
 @query("SELECT l_orderkey, pos FROM lines WHERE l_orderkey <> l_partkey")
