@@ -29,10 +29,10 @@ def token_index(works: DataFrame, id_column: str = "id", text: str = "bibref") -
     """[DM-8] Postings (token, id, tf, length) and token statistics (token, idf, mean) of works."""
     tokens = works.select(F.col(id_column).alias("id"), search_words(F.col(text)).alias("w"))
     sized = tokens.select("id", "w", F.size("w").alias("length"))
-    totals = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean"))
+    totals = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).withColumn("__one", F.lit(1))
     postings = sized.select("id", "length", F.explode("w").alias("token")).groupBy("token", "id", "length").agg(F.count("*").alias("tf"))
     df = postings.groupBy("token").agg(F.count("*").alias("df"))
-    stats = df.crossJoin(F.broadcast(totals)).select("token", "df", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "mean")
+    stats = df.withColumn("__one", F.lit(1)).join(F.broadcast(totals), "__one").select("token", "df", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "mean")
     return postings, stats
 
 

@@ -52,7 +52,8 @@ def threshold_sweep(sheet: DataFrame, train: bool = True, thresholds: int = 50)
     best = rows.filter("retrieved_local_doi IS NOT NULL").groupBy(normal("retrieved_local_doi").alias("id")).agg(F.max("local_score").alias("score"))
     hits = best.join(want.withColumn("hit", F.lit(1)), "id", "left").groupBy(F.least(F.floor("score"), F.lit(thresholds - 1)).cast("int").alias("top")).agg(F.count("*").alias("got"), F.count("hit").alias("both"))
     steps = hits.filter("top >= 0").select(F.explode(F.sequence(F.lit(0), F.col("top"))).alias("threshold"), "got", "both").groupBy("threshold").agg(F.sum("got").alias("got"), F.sum("both").alias("both"))
-    return steps.crossJoin(F.broadcast(want.agg(F.count("*").alias("want")))).select("threshold", F.round(2.0 * F.col("both") / (F.col("got") + F.col("want")), 6).alias("f1"))
+    one = want.agg(F.count("*").alias("want")).withColumn("__one", F.lit(1))
+    return steps.withColumn("__one", F.lit(1)).join(F.broadcast(one), "__one").select("threshold", F.round(2.0 * F.col("both") / (F.col("got") + F.col("want")), 6).alias("f1"))
 
 
 def best_threshold(sweep: DataFrame) -> int | None:
