@@ -206,6 +206,8 @@ def planned(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)).withColumn("large", F.octet_length("payload") >= least)
     digests = rows.filter("large").groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("k")).filter("k > 1").select(F.col("digest").alias("__digest"), "refers_to")
+    # Written, so that the join shuffles both sides itself and can split the pages of a very common payload.
+    digests = written(digests, "digests")
     out = rows.join(digests, (F.col("digest") == F.col("__digest")) & F.col("large"), "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     return out.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("refers_to")).alias("refers_to"), revisit.alias("revisit"))
