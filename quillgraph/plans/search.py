@@ -192,6 +192,11 @@ def journal_of(c) -> DataFrame:
     return a.select("work", "journal_iri", "volume").unionByName(i.select(F.col("i").alias("work"), "journal_iri", "volume")).unionByName(v.select(F.col("v").alias("work"), "journal_iri", "volume"))
 
 
+def _described(entities: DataFrame, bound: DataFrame) -> DataFrame:
+    """The entities that are bound; rows of the entities themselves are taken as they are, without a join."""
+    return bound if set(entities.columns) <= set(bound.columns) else entities.join(bound.select("iri").distinct(), "iri", "left_semi")
+
+
 def _literal(c, scheme: str, name: str) -> DataFrame:
     return c.ident.filter(F.col("scheme") == scheme).select(F.col("owner").alias("iri"), F.col("literal").alias(name))
 
@@ -203,13 +208,13 @@ def _short(kind: str = "br"):
 
 def journal(c, bound: DataFrame) -> DataFrame:
     """[CQ-1]"""
-    rows = c.br.join(bound.select("iri").distinct(), "iri", "left_semi").join(_literal(c, "issn", "issn"), "iri", "left")
+    rows = _described(c.br, bound).join(_literal(c, "issn", "issn"), "iri", "left")
     return rows.select("iri", *_short(), "title", "subtitle", "issn", tx.readable_type(type_iri(F.col("type"))).alias("short_type"))
 
 
 def volume(c, bound: DataFrame, word: str = "Volume") -> DataFrame:
     """[CQ-2]"""
-    rows = c.br.join(bound.select("iri").distinct(), "iri", "left_semi")
+    rows = _described(c.br, bound)
     held = c.br.filter("pub_date IS NOT NULL").select(F.col("part_of").alias("iri"), F.substring("pub_date", 1, 4).alias("year")).distinct()
     rows = rows.join(held, "iri", "left").join(journal_of(c).select(F.col("work").alias("iri"), "journal_iri", F.col("volume").alias("volume_number")), "iri", "left")
     names = c.journal.select(F.col("iri").alias("journal_iri"), F.col("title").alias("journal"))
@@ -233,7 +238,7 @@ def authors_in_order(c) -> DataFrame:
 
 def document(c, bound: DataFrame) -> DataFrame:
     """[CQ-5] One row per work and author, without an author one row; tot orders the authors."""
-    rows = c.br.join(bound.select("iri").distinct(), "iri", "left_semi").join(_literal(c, "doi", "doi"), "iri", "left")
+    rows = _described(c.br, bound).join(_literal(c, "doi", "doi"), "iri", "left")
     cited = c.cites.groupBy(F.col("cited").alias("iri")).agg(F.countDistinct("citing").alias("in_cits"))
     where = journal_of(c).select(F.col("work").alias("iri"), "journal_iri", "volume")
     names = c.journal.select(F.col("iri").alias("journal_iri"), F.col("title").alias("journal"))
@@ -256,7 +261,7 @@ def document_intext(c, bound: DataFrame) -> DataFrame:
 
 def author(c, bound: DataFrame, distinct: bool = False) -> DataFrame:
     """[CQ-6, Q-25] Both counts are over works times citations as written; ``distinct`` counts works and citations once."""
-    rows = c.agent.join(bound.select("iri").distinct(), "iri", "left_semi").join(_literal(c, "orcid", "orcid"), "iri", "left")
+    rows = _described(c.agent, bound).join(_literal(c, "orcid", "orcid"), "iri", "left")
     works = c.role.select(F.col("ra").alias("iri"), F.col("iri").alias("role_iri"), F.col("br").alias("doc"))
     joined = works.join(c.cites.select(F.col("cited").alias("doc"), "citing"), "doc", "left")
     count = (F.countDistinct("doc"), F.countDistinct("doc", "citing")) if distinct else (F.count("doc"), F.count("citing"))
@@ -268,9 +273,11 @@ def intext_ref(c, bound: DataFrame) -> DataFrame:
     """[CQ-7, PT-12, PT-13] InTRePID (citation, ordinal and total), text of the pointer or of its list, entry and target."""
     pair = Window.partitionBy("article", "book")
     number = lambda col: tx.resource_number(F.col(col)).cast("string")
-    p = c.pointer.join(c.pointer.join(bound.select("iri").distinct(), "iri", "left_semi").select("article", "book").distinct(), ["article", "book"], "left_semi")
+    wanted = _described(c.pointer, bound)
+    # Ordinals count all pointers of the citations that are bound.
+    p = wanted if wanted is bound else c.pointer.join(wanted.select("article", "book").distinct(), ["article", "book"], "left_semi")
     p = p.withColumns({"ordinal": F.row_number().over(pair.orderBy("pos")), "total": F.count("*").over(pair)})
-    rows = p.join(bound.select("iri").distinct(), "iri", "left_semi")
+    rows = p if wanted is bound else p.join(bound.select("iri").distinct(), "iri", "left_semi")
     intrepid = F.concat(number("article"), F.lit("-"), number("book"), F.lit("/"), F.col("ordinal").cast("string"), F.lit("-"), F.col("total").cast("string"))
     title = F.coalesce(F.when(F.col("list").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))), F.col("list"), F.lit("no text"))
     return rows.select("iri", *_short("rp"), intrepid.alias("intrepid"), title.alias("title"), "entry", F.col("book").alias("br_iri"))
