@@ -1,27 +1,18 @@
-"""What the operators of this subpackage share: the shared folder, written tables, gapless numbers."""
+"""What the operators of this subpackage share: paths in the shared folder, tables, gapless numbers."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Runs of anything but ASCII white space; the words of every contract here.
-WORD = r"[^\x20\x09-\x0D]+"
+from quillgraph.sources.workspace import shared_dir, written
 
+__all__ = ["WORD", "new_path", "numbered", "partitions", "shared_dir", "table", "written"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a new one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = current.get() if current.isDefined() else None
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="quillgraph-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+#: Runs of anything but ASCII white space; the words of every contract here.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -29,13 +20,6 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
