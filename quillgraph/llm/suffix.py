@@ -434,7 +434,7 @@ def _cutter(buckets: int, sample: bytes, frequent: np.ndarray = np.zeros(0, np.u
                     yield NO_ID if doc is None else doc, rid, offset, data[offset : offset + PART_BYTES + WINDOW - 1]
 
     def flush(parts):
-        squeeze = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        squeeze = zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
         base, found = 0, []
         for datas, docs, rids, offsets in parts:
             data, lengths = np.frombuffer(b"".join(datas), np.uint8), np.array([len(x) for x in datas])
@@ -561,36 +561,45 @@ def _finder(buckets: int, sample: bytes, most: int = 1_000_000):
         held: list[list[np.ndarray]] = []
         parts: list[list[np.ndarray]] = []
         shard: list[list[np.ndarray]] = []
-        current = None
+        current, ranges_held, shard_bytes = None, 0, 0
+
+        def hold(found):
+            nonlocal ranges_held
+            if len(found[0]):
+                held.append(found)
+                ranges_held += len(found[0])
 
         def close(last=False):
-            nonlocal parts, shard
+            nonlocal parts, shard, shard_bytes
             if parts:
                 known, some = candidates(parts)
-                held.append(known)
+                hold(known)
                 parts = []
                 if len(some[1]):
                     shard.append(some)
-            if shard and (last or sum(len(x[0]) for x in shard) >= SHARD_BYTES):
-                held.append(repeated(shard))
-                shard = []
+                    shard_bytes += len(some[0])
+            if shard and (last or shard_bytes >= SHARD_BYTES):
+                hold(repeated(shard))
+                shard, shard_bytes = [], 0
 
         def flush():
+            nonlocal ranges_held
             if held:
                 yield from packed_ranges([np.concatenate(x) for x in zip(*held)], buckets)
                 held.clear()
+                ranges_held = 0
 
         for batch in batches:
             for bucket, ranges, part in zip(*(batch.column(c).to_pylist() for c in ("bucket", "ranges", "part"))):
                 if bucket != current:
                     close()
                     current = bucket
-                    if sum(len(x[0]) for x in held) > most:
+                    if ranges_held > most:
                         yield from flush()
                 if part is not None:
                     parts.append(_unpacked(part, PART_KINDS, expand))
                 if ranges is not None:
-                    held.append(_unpacked(ranges, RANGE_KINDS, plain))
+                    hold(_unpacked(ranges, RANGE_KINDS, plain))
         close(last=True)
         yield from flush()
 
