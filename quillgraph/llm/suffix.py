@@ -32,7 +32,7 @@ HALF = (WINDOW - GRAM) // 2  # a window has so many bytes before its minimiser o
 #: Minimisers are sought in so many bytes at a time, segments gathered from so many, buckets aim at so many,
 #: and the segments of one or more buckets that may have something in common make a shard of about so many.
 PART_BYTES = 1 << 19
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
 SWELL = 3.3  # bytes of segments to a byte of text
@@ -471,7 +471,7 @@ def _cutter(buckets: int, sample: bytes, frequent: np.ndarray = np.zeros(0, np.u
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, total, now, size = [], 0, ([], [], [], []), 0
         for doc, rid, offset, data in units(batches):
-            if size and size + len(data) > 2 * PART_BYTES:
+            if size and size + len(data) > PART_BYTES:
                 parts.append(now)
                 now, size = ([], [], [], []), 0
                 if total >= BATCH_BYTES:
@@ -504,7 +504,7 @@ def candidates(parts: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np
     # Windows of two texts can only be equal if both have the same bytes from HALF before the minimiser to its end, or from it to HALF behind it.
     left, right = place >= HALF, size - place >= GRAM + HALF
     h1, h2, left_key, right_key = (np.zeros(len(size), np.uint64) for _ in range(4))
-    edges = np.searchsorted(begin, np.arange(0, len(texts), 2 * PART_BYTES))
+    edges = np.searchsorted(begin, np.arange(0, len(texts), PART_BYTES))
     for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(size)]):
         if i < j:
             base, own = begin[i], slice(i, j)
