@@ -232,30 +232,32 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"the components are not settled after {rounds} rounds")
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, rid, fp and root (a fingerprint that names the component) of every row of ``docs`` (doc_id, text)."""
+    prints = written(fingerprints(docs), "simhash")
+    # Unsigned order in Python and signed order here differ, which is no matter: any order of nodes will do.
+    distinct = prints.select("fp").distinct()
+    signed = [m - (1 << 64) if m >> 63 else m for m in bucket_masks()]
+    dealt = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("bucket"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])).alias("x")).select("x.bucket", "x.key", "fp")
+    sorted_ = dealt.repartition(partitions(docs.sparkSession), "bucket", "key").sortWithinPartitions("bucket", "key", "fp")
+    root = components(sorted_.mapInArrow(_compare, "a long, b long"))
+    return prints.join(root, prints["fp"] == root["node"], "left").select("doc_id", "rid", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id, rid and component of every row of ``docs`` (doc_id, text).
+    """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id reachable over fingerprints that differ
     in at most RADIUS bits. Texts without words, null texts among them, have
     fingerprint zero and link like any other. Null doc_ids never become a
     component_id unless a component has no other. Rows with the same doc_id are
     rows of their own. An empty table gives no rows; other columns are ignored.
-    rid is a hash of doc_id and text, component a fingerprint that names the
-    component.
     """
-    prints = written(fingerprints(docs), "simhash")
-    # Unsigned order in Python and signed order here differ, which is no matter: any order of nodes will do.
-    distinct = prints.select("fp").distinct()
-    signed = [m - (1 << 64) if m >> 63 else m for m in bucket_masks()]
-    dealt = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("bucket"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])).alias("x")).select("x.bucket", "x.key", "fp")
-    sorted_ = dealt.repartition(partitions(docs.sparkSession), "bucket", "key").sortWithinPartitions("bucket", "key", "fp")
-    root = components(sorted_.mapInArrow(_compare, "a long, b long"))
-    # The roots of linked fingerprints are few rows beside the documents; the least doc_id of each comes from one aggregation.
-    placed = prints.join(root, prints["fp"] == root["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    rows = placed(docs)
     # Written, so that the join shuffles both sides itself and can split the rows of a very large component.
-    least = written(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r"), "least")
-    out = placed.join(least, placed["root"] == least["r"]).drop("r")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "rid", F.col("root").alias("component"))
+    least = written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r"), "least")
+    out = rows.join(least, rows["root"] == least["r"])
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -265,9 +267,9 @@ def representatives(docs: DataFrame) -> DataFrame:
     doc_id and text any one. A component without any doc_id keeps one row too.
     """
     names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
-    found = near_duplicates(docs.select("doc_id", "text"))
+    found = placed(docs.select("doc_id", "text"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("r"))
-    kept = found.groupBy("component", "component_id").agg(F.min(first).alias("first")).select(F.col("first.r").alias("__r"))
+    kept = found.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.r").alias("__r"))
     rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.xxhash64(F.col("doc_id").cast("long"), "text").alias("__rid"))
     rows = rows.join(kept, F.col("__rid") == F.col("__r")).dropDuplicates(["__rid"])
     return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
