@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,18 +52,60 @@ def token_search(queries: DataFrame, postings: DataFrame, stats: DataFrame, k: i
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+def block_offsets(short: str, long: str) -> set[int]:
+    """Where ``short`` would start in ``long`` by each of difflib's matching blocks (without junk): the same blocks, row by row of an array."""
+    a, b = (np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in (short, long))
+    found, todo = {max(0, len(b) - len(a))}, [(0, len(a), 0, len(b))]
+    while todo:
+        alo, ahi, blo, bhi = todo.pop()
+        piece, size, i, j = b[blo:bhi], 0, 0, 0
+        runs, before = np.zeros(bhi - blo + 1, np.int32), np.zeros(bhi - blo + 1, np.int32)
+        for k in range(alo, ahi):
+            # The common run that ends at a[k] and each place of b; the first longest one wins, as in difflib.
+            runs, before = before, runs
+            np.add(before[:-1], 1, out=runs[1:])
+            runs[1:] *= piece == a[k]
+            at = int(runs.argmax())
+            if runs[at] > size:
+                size = int(runs[at])
+                i, j = k - size + 1, blo + at - size
+        if size:
+            found.add(max(0, j - i))
+            if alo < i and blo < j:
+                todo.append((alo, i, blo, j))
+            if i + size < ahi and j + size < bhi:
+                todo.append((i + size, ahi, j + size, bhi))
+    return found
+
+
+def common_length(short: str, piece: str) -> int:
+    """Length of the longest common subsequence, which no sum of matching blocks exceeds."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(short):
+        at[x] = at.get(x, 0) | 1 << i
+    full = state = (1 << len(short)) - 1
+    for x in piece:
+        both = state & at.get(x, 0)
+        state = (state + both | state - both) & full
+    return len(short) - state.bit_count()
+
+
 def partial_ratio(a: str, b: str) -> float:
-    """Likeness (0 to 100) of the shorter text to the piece of the longer one that is most like it."""
+    """Likeness (0 to 100) of the shorter text to the piece of the longer one that is most like it.
+
+    Pieces start where a matching block puts them; those that cannot be the best
+    by their longest common subsequence are passed over.
+    """
     short, long = sorted((a.lower(), b.lower()), key=len)
     if not short:
         return 0.0
+    pieces = [long[at : at + len(short)] for at in sorted(block_offsets(short, long))]
+    bounded = sorted(((2.0 * common_length(short, p) / (len(short) + len(p)), p) for p in pieces), reverse=True)
     best = 0.0
-    matcher = difflib.SequenceMatcher(None, short, long, autojunk=False)
-    for i, j, _ in matcher.get_matching_blocks():
-        at = max(0, j - i)
-        piece = long[at : at + len(short)]
-        found = difflib.SequenceMatcher(None, short, piece, autojunk=False).ratio()
-        best = max(best, found)
+    for most, piece in bounded:
+        if most <= best:
+            break
+        best = max(best, difflib.SequenceMatcher(None, short, piece, autojunk=False).ratio())
         if best > 0.995:
             return 100.0
     return 100 * best
@@ -79,7 +122,9 @@ def fuzzy_choice(hits: DataFrame, least_score: float = 0.0, least_ratio: float =
     Queries whose first hit is below ``least_score`` have no choice.
     """
     first = hits.filter("rank = 1").filter(F.col("score") >= least_score).select("query_id")
-    rated = hits.join(first, "query_id", "left_semi").withColumn("ratio", F.round(partial_ratio_udf("title", "text"), 4)).filter(F.col("ratio") >= least_ratio)
+    # Few rows of much work: dealt over all cores, and rated once (a filter would else repeat the rating).
+    rated = hits.join(first, "query_id", "left_semi").repartition(4 * hits.sparkSession.sparkContext.defaultParallelism, "query_id", "rank")
+    rated = rated.withColumn("ratio", F.round(partial_ratio_udf.asNondeterministic()("title", "text"), 4)).filter(F.col("ratio") >= least_ratio)
     best = Window.partitionBy("query_id").orderBy(F.col("ratio").desc(), "rank")
     return rated.withColumn("__rn", F.row_number().over(best)).filter("__rn = 1").drop("__rn")
 

@@ -331,7 +331,7 @@ def all_terms_search(c):
 @query()
 def fuzzy_choice(c):
     """[TXT-02, PT-14] Rows only: which of the three best documents holds most of the item, by partial ratio."""
-    docs = c.table("documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 200).alias("title"))
+    docs = c.table("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("title"))
     postings, stats = mt.token_index(c.table("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("bibref")))
     queries = c.table("benchmark").select(F.col("item_id").alias("query_id"), "text")
     hits = mt.token_search(queries, postings, stats, 3).join(docs, "id").join(queries, "query_id")

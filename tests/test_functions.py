@@ -1,10 +1,14 @@
 """Golden values of the scalar functions."""
 
+import difflib
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.functions import matching as mt
 from quillgraph.functions import text as tx
+from quillgraph.plans import services
 from quillgraph.schema import BASE
 
 
@@ -85,3 +89,36 @@ def test_sentence_similarity(spark):
     pairs = spark.createDataFrame([("big cat", "large feline"), ("dog", "tree")], "a string, b string")
     near = spark.createDataFrame([("big", "large", 0.9), ("cat", "feline", 0.8)], "x string, y string, similarity double")
     assert [tuple(r) for r in mt.sentence_similarity(pairs, near).collect()] == [("big cat", "large feline", 0.85)]
+
+
+def test_fuzzy_choice_over_whole_texts(spark, tmp_path):
+    """The registered query against every window of every hit: passages lie far beyond the openings, one of them with a word changed."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7))) for _ in range(60)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, prose(8)) for i in range(4)]
+    near = [" ".join("zzzzz"[: len(w)] if j == 4 and i == 3 else w for j, w in enumerate(t.split())) for i, t in items]
+    docs = [(10 + i, prose(150) + " " + near[i] + " " + prose(20)) for i in range(4)]
+    # Documents that open with the words of an item in another order are better hits, and worse choices.
+    docs += [(20 + i, " ".join(sorted(t.split()) * 3) + " " + prose(30)) for i, t in items]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r["query_id"]: (r["id"], r["rank"], r["ratio"]) for r in services.QUERIES["fuzzy_choice"](spark, str(tmp_path)).collect()}
+    text, wanted = dict(docs), {}
+    windows = lambda a, b: max(difflib.SequenceMatcher(None, a, b[k : k + len(a)], autojunk=False).ratio() for k in range(len(b) - len(a) + 1))
+    for r in services.QUERIES["token_search_topk"](spark, str(tmp_path)).collect():
+        wanted.setdefault(r["query_id"], []).append((-round(100 * windows(dict(items)[r["query_id"]], text[r["id"]]), 4), r["rank"], r["id"]))
+    assert found == {q: (i, rank, -ratio) for q, hits in wanted.items() for ratio, rank, i in [min(hits)]}
+    assert all(found[i][0] == 10 + i for i in range(4)) and found[0][2] == 100 > found[3][2] > 80
+
+
+def test_partial_ratio_takes_the_blocks_of_difflib():
+    rng = random.Random(4)
+    for _ in range(150):
+        symbols = rng.choice(["ab", "abcde fg", "etaoin shrdluß日"])
+        a, b = ("".join(rng.choice(symbols) for _ in range(rng.randint(1, n))) for n in (40, 200))
+        short, long = sorted((a, b), key=len)
+        offsets = {max(0, j - i) for i, j, _ in difflib.SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks()}
+        assert mt.block_offsets(short, long) >= offsets
+        best = max(difflib.SequenceMatcher(None, short, long[k : k + len(short)], autojunk=False).ratio() for k in offsets)
+        assert mt.partial_ratio(a, b) == pytest.approx(100 if best > 0.995 else 100 * best)
