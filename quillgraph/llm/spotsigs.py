@@ -104,25 +104,30 @@ def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
     Columns __bucket, __guest, __key, __hash are added. The guest of a bucket is
     the first row of the next one (of the first one, for the last), so that every
-    row but the guest has its successor in its bucket. Null ids come last; rows
-    with the same id are ordered by a hash of the text.
+    row but the guest has its successor in its bucket. Null ids come last, in
+    buckets of their own; rows with the same id, null ones too, are ordered by a
+    hash of the text.
     """
     rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("__key"), F.xxhash64("text").alias("__hash"))
-    marks = [i / COARSE for i in range(1, COARSE)]
-    found = rows.agg(F.count("*").alias("n"), F.min("__key").alias("low"), F.max("__key").alias("high"), F.percentile_approx("__key", marks, 10_000).alias("marks")).first()
-    n = found["n"]
+    marks, ids = [i / COARSE for i in range(1, COARSE)], F.col("doc_id").cast("long")
+    found = rows.agg(F.count("*").alias("n"), F.count(ids).alias("known"), F.min(ids).alias("low"), F.max(ids).alias("high"), F.percentile_approx(ids, marks, 10_000).alias("marks")).first()
+    n = found["known"]
     fine = max(1, min(FINE_MOST, n // (COARSE * bucket_rows)))
-    edges = [found["low"] or 0, *sorted(set(found["marks"] or []) - {found["low"]}), (found["high"] or 0) + 1] if n else [0, 1]
+    edges = [found["low"], *sorted(set(found["marks"]) - {found["low"]}), found["high"] + 1] if n else [0, 1]
     if n <= bucket_rows:
         edges = [edges[0], edges[-1]]
-    # Ranges of equal counts, each divided evenly; both keep the order of ids.
-    bucket = F.lit(0)
+    # Ranges of equal counts, each divided evenly; both keep the order of ids. Offsets are doubles, as those of far ids exceed a BIGINT.
+    bucket = None
     for i in range(len(edges) - 1, 0, -1):
         low, high = edges[i - 1], edges[i]
-        inner = F.lit(0) if fine == 1 or high - low < 2 else F.least(F.floor((F.col("__key") - low).cast("double") * fine / (high - low)), F.lit(fine - 1)).cast("int")
-        bucket = F.when(F.col("__key") < high, (i - 1) * fine + inner).otherwise(bucket)
+        inner = F.lit(0) if fine == 1 or high - low < 2 else F.least(F.floor((F.col("__key").cast("double") - float(low)) * fine / float(high - low)), F.lit(fine - 1)).cast("int")
+        bucket = (i - 1) * fine + inner if bucket is None else F.when(F.col("__key") < high, (i - 1) * fine + inner).otherwise(bucket)
+    # Null ids have buckets below all others, by the hash that orders them.
+    nulls = max(1, min(COARSE * FINE_MOST, (found["n"] - n) // bucket_rows))
+    share = F.least(F.floor((F.col("__hash").cast("double") + float(1 << 63)) * nulls / float(1 << 64)), F.lit(nulls - 1))
+    bucket = F.when(F.col("doc_id").isNull(), share - nulls).otherwise(bucket)
     rows = rows.withColumn("__bucket", bucket.cast("int"))
-    # At most COARSE * FINE_MOST rows of 24 bytes are broadcast.
+    # At most 2 * COARSE * FINE_MOST rows of 24 bytes are broadcast.
     first = rows.groupBy("__bucket").agg(F.max(F.struct("__key", "__hash")).alias("top"))
     order = Window.orderBy("__bucket")
     guests = first.select(F.coalesce(F.lead("__bucket").over(order), F.first("__bucket").over(order)).alias("__to"), F.col("top.__key").alias("__gk"), F.col("top.__hash").alias("__gh"))

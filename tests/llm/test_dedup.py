@@ -218,6 +218,26 @@ def test_next_document_over_buckets(spark):
     assert after == dict(zip(order, order[1:] + order[:1]))
 
 
+def test_next_document_over_buckets_with_null_ids(spark):
+    """Divided ranges with null ids and the ends of BIGINT among the ids: null ids come last and are split by the hash of their texts."""
+    rng = random.Random(2)
+    ids = sorted({*rng.sample(range(-50_000, 2_000_000), 700), 1 - (1 << 63), (1 << 63) - 1}, reverse=True)
+    texts = [(i, f"text {i}") for i in ids] + [(None, f"none {i}") for i in range(300)]
+    frame = spark.createDataFrame(rng.sample(texts, len(texts)), "doc_id long, text string")
+    buckets = {}
+    for r in spotsigs.with_next(frame, bucket_rows=3).collect():
+        buckets.setdefault(r["__bucket"], []).append((r["__guest"], -r["__key"], -r["__hash"], r["text"]))
+    hashes = {r["text"]: r["h"] for r in frame.filter("doc_id IS NULL").selectExpr("text", "xxhash64(text) AS h").collect()}
+    after = {}
+    for b in buckets.values():
+        b.sort()
+        assert [x[0] for x in b].count(True) == 1
+        after |= {x[3]: y[3] for x, y in zip(b, b[1:])}
+    order = [f"text {i}" for i in ids] + sorted(hashes, key=lambda t: -hashes[t])
+    assert after == dict(zip(order, order[1:] + order[:1]))
+    assert len(buckets) > 100 and sum(all(x[3].startswith("none") for x in b if not x[0]) for b in buckets.values()) > 50
+
+
 def test_similar_pairs(docs, rows):
     anchors = ["the", "of", "and", "to"]
     members, pairs = spotsigs.similar_pairs(docs, 0.6, anchors)
