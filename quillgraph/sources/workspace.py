@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a new folder where that is unset."""
+    """``spark.checkpoint.dir``, or a new folder where that is unset and the master is local.
+
+    Elsewhere an unset folder is an error: each executor would write to its own
+    disk, and what is read back would be a part.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quillgraph-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
