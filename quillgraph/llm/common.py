@@ -24,8 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark: SparkSession, expected_bytes: int = 0) -> int:
+    """What the session asks for, or one for each 64 MB that are expected, if that is more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), expected_bytes >> 26)
 
 
 def numbered(df: DataFrame, groups: list[str], order: list[Column], name: str, buckets: int = 64) -> DataFrame:
