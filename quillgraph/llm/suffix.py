@@ -9,6 +9,12 @@ Neighbouring windows with the same minimiser travel as one segment. Each bucket
 is a shard: its segments are concatenated, their suffix array is made by induced
 sorting, and permuted common prefixes tell which windows are equal. A window
 that also starts in a document with a smaller id marks its bytes for removal.
+
+Before that, 128-bit fingerprints settle what is equal as a whole: of equal
+segments only one is kept, and the windows of the others are those of that one.
+So whole copies are found by fingerprints, and a segment that shares neither
+half of its context with another text is alone; the suffix arrays sort what
+remains, one of each text that may share a window with a different one.
 """
 
 from __future__ import annotations
@@ -36,6 +42,7 @@ BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
 SWELL = 3.3  # bytes of segments to a byte of text
+MOST_BUCKETS = (1 << 31) - 1  # a bucket's number is an int
 #: Document id that stands for null; nothing is smaller because of it.
 NO_ID = np.iinfo("i8").max
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
@@ -355,6 +362,12 @@ def bucket_of(doc: np.ndarray, buckets: int) -> np.ndarray:
     return ((doc.astype(np.uint64) * _A >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
+def pieces_of(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, begin, end) of each run of a sorted array, whatever the range of its values."""
+    begin = np.flatnonzero(runs_of([values]))
+    return list(zip(values[begin].tolist(), begin.tolist(), np.append(begin[1:], len(values)).tolist()))
+
+
 def _rows_of(rows: list[tuple]) -> pa.RecordBatch:
     """(bucket, ranges, part) as Arrow."""
     kinds = (pa.int32(), pa.binary(), pa.binary())
@@ -368,9 +381,8 @@ def packed_ranges(columns: list[np.ndarray], buckets: int) -> Iterator[pa.Record
         return
     bucket = bucket_of(columns[0], buckets)
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     squeeze = zstandard.ZstdCompressor(level=3)
-    rows = [(b, _packed([c[order[edges[b] : edges[b + 1]]] for c in columns], RANGE_KINDS, squeeze), None) for b in np.flatnonzero(np.diff(edges)).tolist()]
+    rows = [(b, _packed([c[order[i:j]] for c in columns], RANGE_KINDS, squeeze), None) for b, i, j in pieces_of(bucket[order])]
     for i in range(0, len(rows), 1000):
         yield _rows_of(rows[i : i + 1000])
 
@@ -417,8 +429,10 @@ def frequent_grams(rows: DataFrame, most: int = FREQUENT) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(grams[keep].view(np.int64)), pa.array(n[keep])], names=["gram", "n"])
 
     total = rows.count()
-    share = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FREQUENT_SAMPLE / max(1, total)))
-    seen = rows.filter(share).select("text").coalesce(max(1, min(8, total // 500))).mapInArrow(count, "gram long, n long")
+    h = F.xxhash64("doc_id", "text")
+    share = F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, FREQUENT_SAMPLE / max(1, total)))
+    # Rows alike count once, however often they come.
+    seen = rows.filter(share).groupBy(h.alias("h")).agg(F.first("text").alias("text")).select("text").coalesce(max(1, min(8, total // 500))).mapInArrow(count, "gram long, n long")
     top = seen.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "gram").limit(most)
     return np.sort(np.array([r["gram"] for r in top.collect()], np.int64).view(np.uint64))
 
@@ -455,10 +469,9 @@ def _cutter(buckets: int, sample: bytes, frequent: np.ndarray = np.zeros(0, np.u
         yield from packed_ranges([doc[again], rid[again], start[again], start[again] + windows[again] + WINDOW - 1], buckets)
         sent = order[~known]
         sent = sent[np.lexsort((start[sent], doc[sent], bucket[sent]))]
-        edges = np.searchsorted(bucket[sent], np.arange(buckets + 1))
         out, size = [], 0
-        for b in np.flatnonzero(np.diff(edges)).tolist():
-            own = sent[edges[b] : edges[b + 1]]
+        for b, i, j in pieces_of(bucket[sent]):
+            own = sent[i:j]
             texts = gather(data, begin[own], windows[own] + WINDOW - 1)
             part = _packed([texts, windows[own], place[own], doc[own], rid[own], start[own]], PART_KINDS, squeeze)
             out.append((b, None, part))
@@ -649,8 +662,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     keys = F.col("doc_id").cast("long"), F.xxhash64("text") if again else F.lit(0).cast("long")
     rows = docs.select(keys[0].alias("doc_id"), "text", keys[1].alias("rid"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shuffled = partitions(spark)
-    buckets = max(shuffled, int(total * SWELL / BUCKET_BYTES))
+    shuffled = partitions(spark, total)
+    buckets = min(max(shuffled, int(total * SWELL / BUCKET_BYTES)), MOST_BUCKETS)
     # A bounded sample of text as a dictionary for what is shipped; it changes sizes, not results.
     sample = "\n".join(r[0] for r in rows.select(F.substring("text", 1, 1500)).filter("text IS NOT NULL").limit(40).collect()).encode() or b"none"
     sent = rows.mapInArrow(_cutter(buckets, sample, frequent_grams(rows)), ROWS_DDL)
