@@ -8,6 +8,7 @@ index with the offset and length of each member.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import re
@@ -81,13 +82,17 @@ def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
         return piece is not None
 
     while True:
-        while (end := held.find(b"\r\n\r\n")) < 0:
-            if not more():
+        while (end := held.find(b"\r\n\r\n")) < 0 or held.startswith(b"\r\n"):
+            if held.startswith(b"\r\n"):  # more blank lines between records than there should be
+                del held[:2]
+            elif not more():
                 if held.strip():
                     raise ValueError("the archive ends inside a record")
                 return
-        size = re.search(rb"(?im)^content-length:\s*(\d+)", bytes(held[:end]))
-        whole = end + 4 + int(size[1]) + 4
+        size = fields(bytes(held[: end + 4]))[0].get("content-length", "")
+        if not size.isdigit():
+            raise ValueError("a record has no content length")
+        whole = end + 4 + int(size) + 4
         while len(held) < whole:
             if not more():
                 raise ValueError("the archive ends inside a record")
@@ -96,15 +101,34 @@ def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def fields(record: bytes) -> tuple[dict[str, str], bytes]:
-    """The headers (lower-case names) and the block of a record."""
+    """The headers (lower-case names; folded lines joined, the first of a name counts) and the block of a record."""
     head, _, rest = record.partition(b"\r\n\r\n")
-    named = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    named = {k.lower(): v for k, v in named.items()}
-    return named, rest[: int(named["content-length"])]
+    named: dict[str, str] = {}
+    for line in re.sub(rb"\r\n[ \t]+", b" ", head).split(b"\r\n")[1:]:
+        name, colon, value = line.partition(b":")
+        if colon:
+            named.setdefault(name.strip().lower().decode("utf-8", "replace"), value.strip().decode("utf-8", "replace"))
+    size = named.get("content-length", "")
+    return named, rest[: int(size)] if size.isdigit() else rest
+
+
+def digest_fits(stated: str | None, payload: bytes) -> bool:
+    """Whether a digest header (sha256 in hex or sha1 in base 32; others can't be checked) is that of the payload."""
+    kind, _, value = (stated or "").partition(":")
+    if kind.lower() == "sha256" and len(value) == 64:
+        return hashlib.sha256(payload).hexdigest() == value.lower()
+    if kind.lower() == "sha1" and len(value) == 32:
+        return base64.b32encode(hashlib.sha1(payload).digest()).decode() == value.upper()
+    return True
 
 
 def normalise(source: str, target: str, index: str) -> int:
-    """Rewrites the archive ``source`` with a gzip member per record; returns the number of records."""
+    """Rewrites the archive ``source`` with a gzip member per record; returns the number of records.
+
+    Records of any kind and origin are kept as they are; the index has the id,
+    type and payload digest that a record states, null for those it doesn't.
+    An archive that ends inside a record or whose record has no length is an error.
+    """
     fs, path = _fs(source)
     out, name = _fs(target)
     offset = n = 0
@@ -114,7 +138,7 @@ def normalise(source: str, target: str, index: str) -> int:
             member = deflate.compress(record) + deflate.flush()
             members.write(member)
             named, _ = fields(record)
-            side.write((json.dumps({"offset": offset, "length": len(member), "id": named["warc-record-id"], "type": named["warc-type"], "digest": named["warc-payload-digest"]}) + "\n").encode())
+            side.write((json.dumps({"offset": offset, "length": len(member), "id": named.get("warc-record-id"), "type": named.get("warc-type"), "digest": named.get("warc-payload-digest")}) + "\n").encode())
             offset += len(member)
             n += 1
     return n
@@ -167,15 +191,24 @@ def _normalise_archives(batches):
 def _read_archives(batches):
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
-    def read_one(data: bytes, entry: dict) -> dict:
+    def number(x: str | None) -> int | None:
+        found = re.fullmatch(r"<urn:page:(-?\d+)>", x or "")
+        return int(found[1]) if found else None
+
+    def read_one(data: bytes, entry: dict) -> dict | None:
         named, block = fields(zlib.decompress(data, GZIP))
+        kind = named.get("warc-type")
+        if named.get("warc-record-id") != entry["id"]:
+            raise ValueError(f"record {entry['id']} is not where the index has it")
+        if kind not in ("response", "revisit"):
+            return None
         head, _, payload = block.partition(b"\r\n\r\n")
-        size, digest = int(re.search(rb"(?im)^content-length:\s*(\d+)", head)[1]), named["warc-payload-digest"].removeprefix("sha256:")
-        kind = named["warc-type"]
-        if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest) or named["warc-record-id"] != entry["id"]:
+        length, stated = re.search(rb"(?im)^content-length:\s*(\d+)", head), named.get("warc-payload-digest")
+        size = int(length[1]) if length else len(payload)
+        if kind == "response" and (len(payload) != size or not digest_fits(stated, payload)):
             raise ValueError(f"record {entry['id']} does not hold what its headers say")
-        number = lambda x: None if x is None or x.endswith(":null>") else int(x.rpartition(":")[2][:-1])
-        return {"page_id": number(named["warc-record-id"]), "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": number(named.get("warc-refers-to"))}
+        digest = hashlib.sha256(payload).hexdigest() if kind == "response" else (stated or "").rpartition(":")[2]
+        return {"page_id": number(entry["id"]), "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": number(named.get("warc-refers-to"))}
 
     for batch in batches:
         for archive, index in zip(batch.column("archive").to_pylist(), batch.column("index").to_pylist()):
@@ -187,7 +220,8 @@ def _read_archives(batches):
                     *lines, rest = (rest + data).split(b"\n")
                     for entry in map(json.loads, lines):
                         members.seek(entry["offset"])
-                        rows.append(read_one(members.read(entry["length"]), entry))
+                        if (row := read_one(members.read(entry["length"]), entry)) is not None:
+                            rows.append(row)
                         if len(rows) == 5000:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows = []
@@ -222,7 +256,10 @@ def archived(pages: DataFrame) -> DataFrame:
 
 
 def read_back(archives: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, checked against its digest."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every response and revisit, checked against its digest.
+
+    Records of other kinds, and the page ids of foreign records (null), are passed over.
+    """
     return archives.repartition(max(1, archives.count()), "archive").mapInArrow(_read_archives, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
