@@ -30,6 +30,7 @@ ONES = 8
 WINDOW = 2
 HIDDEN = 32
 EPOCHS = 150
+PATIENCE = 15
 THRESHOLD = 0.3
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -100,6 +101,7 @@ class Network:
         self.weights = [rng.normal(0, (2 / z.shape[1]) ** 0.5, (z.shape[1], hidden)), np.zeros(hidden), rng.normal(0, (1 / hidden) ** 0.5, hidden), np.zeros(1)]
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights]
         xt, yt, step, self.temperature = z[~held], y[~held], 0, 1.0
+        best, worse = None, 0
         for _ in range(epochs):
             order = rng.permutation(len(xt))
             for at in range(0, len(order), 256):
@@ -112,6 +114,16 @@ class Network:
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     w -= 0.002 * (m / (1 - 0.9**step)) / ((v / (1 - 0.999**step)) ** 0.5 + 1e-8)
+            if held.any():  # ends once the rows held back have not gained for PATIENCE epochs
+                loss = np.logaddexp(0, np.where(y[held] == 1, -1, 1) * self._logits(z[held])).mean()
+                if best is None or loss < best[0] - 1e-4:
+                    best, worse = (loss, [w.copy() for w in self.weights]), 0
+                else:
+                    worse += 1
+                if worse == PATIENCE:
+                    break
+        if best:
+            self.weights = best[1]
         if held.any():  # the temperature of least log loss on the rows held back
             logits, truth = self._logits(z[held]), y[held]
             loss = lambda t: np.logaddexp(0, np.where(truth == 1, -1, 1) * logits / t).mean()
@@ -143,11 +155,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 
     The labelled rows are sampled by a hash of the id at a rate from the class's
     count, so about ``per_class`` of each class come in, whatever the size; rows
-    without id or label are left out. What reaches the driver is bounded: the
+    without id or label are left out, repeated ones count once, and ids with both
+    labels teach nothing. What reaches the driver is bounded: the
     vocabulary, its vectors and the sample's pooled vectors.
     """
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("__id").isNotNull() & is_training(F.col("__id")))
+    known = known.groupBy("__id").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(counts) < 2:
         rate = 1.0 if 1 in counts else 0.0 if 0 in counts else 0.5
@@ -169,20 +183,40 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     rows = {w: i for i, w in enumerate(words)}
 
     def surroundings(batches):
-        own, total = index_vectors(words), np.zeros((len(words), DIMENSIONS), np.int64)
+        own, total, held = index_vectors(words), np.zeros((len(words), DIMENSIONS), np.int64), {d: [] for d in range(1, WINDOW + 1)}
+
+        def add(keys, n, vectors):
+            """Adds to the words in ``keys`` (sorted) the vectors beside them, n times each."""
+            for i in range(0, len(keys), 1 << 14):
+                k, part = keys[i : i + (1 << 14)], vectors[i : i + (1 << 14)] * n[i : i + (1 << 14), None]
+                first = np.flatnonzero(np.diff(k, prepend=-1))
+                total[k[first]] += np.add.reduceat(part, first, axis=0)
+
+        def flush():
+            for d, codes in held.items():
+                if codes:
+                    pairs, n = np.unique(np.concatenate(codes), return_counts=True)
+                    a, b = pairs // len(words), pairs % len(words)
+                    # The index vectors d words on are rotated by d, those d words back by -d, as order matters.
+                    add(a, n, np.roll(own, d, axis=1)[b])
+                    order = np.argsort(b, kind="stable")
+                    add(b[order], n[order], np.roll(own, -d, axis=1)[a[order]])
+                    codes.clear()
+
+        size = 0
         for batch in batches:
             for x in batch.column("text"):
                 ids = row_numbers(x.as_py(), rows)
-                for d in range(1, WINDOW + 1):
-                    if len(ids) > d:
-                        # The index vectors d words on are rotated by d, those d words back by -d, as order matters.
-                        pairs, n = np.unique(ids[:-d] * len(words) + ids[d:], return_counts=True)
-                        a, b = pairs // len(words), pairs % len(words)
-                        np.add.at(total, a, np.roll(own, d, axis=1)[b] * n[:, None])
-                        np.add.at(total, b, np.roll(own, -d, axis=1)[a] * n[:, None])
+                for d, codes in held.items():
+                    codes.append(ids[:-d] * len(words) + ids[d:])
+                size += len(ids)
+                if size > 1 << 18:
+                    flush()
+                    size = 0
+        flush()
         yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["sums"])
 
-    sums = sum((np.frombuffer(r["sums"], "<i8").reshape(len(words), DIMENSIONS) for r in sample.coalesce(4).mapInArrow(surroundings, "sums binary").collect()), np.zeros((len(words), DIMENSIONS), np.int64))
+    sums = sum((np.frombuffer(r["sums"], "<i8").reshape(len(words), DIMENSIONS) for r in sample.coalesce(8).mapInArrow(surroundings, "sums binary").collect()), np.zeros((len(words), DIMENSIONS), np.int64))
     vectors = sums / (np.linalg.norm(sums, axis=1, keepdims=True) + 1e-9)
     # What stands around a word is joined by what it is, or words in like places would be alike.
     vectors = (vectors + index_vectors(words) / ONES**0.5).astype(np.float32)
