@@ -91,8 +91,22 @@ def _exact_dot(q: np.ndarray, c: np.ndarray) -> np.ndarray:
         return (q.astype("f4") @ c.astype("f4").T).astype("i8")
     if bound < 1 << 53:
         return (q.astype("f8") @ c.astype("f8").T).astype("i8")
-    big = np.array([[sum(int(a) * int(b) for a, b in zip(x, y)) for y in c] for x in q], dtype=object).reshape(len(q), len(c))
-    return np.clip(big, -(1 << 63), (1 << 63) - 1).astype("i8")
+    # Row by row: only pairs whose own bound is too large are done with whole numbers of any length.
+    most_q, most_c = np.abs(q).max(axis=1, initial=0), np.abs(c).max(axis=1, initial=0)
+    out = np.zeros((len(q), len(c)), "i8")
+    fine = most_c * max(most_q.min(initial=0), 1.0) * d < 1 << 53
+    big_q = np.flatnonzero(most_q * most_c[fine].max(initial=0) * d >= 1 << 53)
+    fine_q = np.setdiff1d(np.arange(len(q)), big_q)
+    exact = lambda a, b: np.clip(whole(a).dot(whole(b).T), -(1 << 63), (1 << 63) - 1).astype("i8")
+    out[np.ix_(fine_q, np.flatnonzero(fine))] = (q[fine_q].astype("f8") @ c[fine].astype("f8").T).astype("i8")
+    out[np.ix_(fine_q, np.flatnonzero(~fine))] = exact(q[fine_q], c[~fine])
+    out[big_q] = exact(q[big_q], c)
+    return out
+
+
+def whole(x: np.ndarray) -> np.ndarray:
+    """Whole numbers of any length."""
+    return np.array([int(v) for v in x.ravel().tolist()], dtype=object).reshape(x.shape)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
