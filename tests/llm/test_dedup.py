@@ -59,7 +59,7 @@ def test_removals_over_small_parts(docs, rows, monkeypatch):
     assert sorted(map(tuple, suffix.removals(docs).collect()), key=str) == plain_removals(rows)
 
 
-def test_without_repeats(docs, rows):
+def test_without_repeats(docs, rows, empty):
     out = suffix.without_repeats(docs)
     assert out.columns == docs.columns
     found = out.collect()
@@ -67,6 +67,14 @@ def test_without_repeats(docs, rows):
     texts = {r["doc_id"]: r["text"] for r in found}
     assert texts[0] == rows[0][1] and 30 in texts and texts[30] is None and texts[33] == ""
     assert len(found) < len(rows)  # whole copies are left empty, and go
+    assert suffix.without_repeats(empty).collect() == []
+
+
+def test_removals_with_very_many_buckets(docs, rows, monkeypatch):
+    """Far more buckets than segments: what is held follows the segments."""
+    monkeypatch.setattr(suffix, "BUCKET_BYTES", 1e-9)
+    monkeypatch.setattr(suffix, "MOST_BUCKETS", 10_000_000)
+    assert sorted(map(tuple, suffix.removals(docs).collect()), key=str) == plain_removals(rows)
 
 
 def plain_fingerprint(text):
@@ -109,7 +117,7 @@ def test_majority():
     rng = np.random.default_rng(0)
     for n in (1, 2, 3, 4, 5, 8, 9, 27, 64, 1000):
         hashes = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
-        assert simhash.majority(hashes) == sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > n)
+        assert int(simhash.majority(hashes)) == sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > n)
 
 
 def test_links_of_dense_clusters(spark):
@@ -159,10 +167,110 @@ def test_components_of_long_chain(spark):
     assert found == {i: 0 for i in range(1, 41)} | {101: 100, 102: 100}
 
 
-def test_representatives(docs, rows):
+def plain_sketch(text):
+    """The wide fingerprint counted bit by bit, and the keys."""
+    words = (re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()).split()
+    shingles = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
+    mix = lambda x: int(simhash.mixed(np.array([x], np.uint64))[0])
+    wide = 0
+    for word in range(simhash.NEAR_WORDS):
+        own = [mix(h ^ mix(word + 1)) for h in hashes]
+        wide |= sum(1 << 64 * word + b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own))
+    return b" ".join(words), wide, {int(k) for k in simhash.sketch(text)[2]}
+
+
+def plain_near_groups(rows):
+    """The group of each row, from all pairs."""
+    found = {r[1]: plain_sketch(r[1]) for r in rows}
+    prints, root = [found[r[1]] for r in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (words, wide, keys) in enumerate(prints):
+        for j, (words2, wide2, keys2) in enumerate(prints[:i]):
+            if words == words2 or keys & keys2 and (wide ^ wide2).bit_count() <= simhash.NEAR_RADIUS:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(rows))]
+
+
+def test_representatives(docs, rows, empty):
     kept = simhash.representatives(docs)
     assert kept.columns == docs.columns
-    assert kept.count() == plain_components(rows, count=True)
+    groups = {}
+    for r, g in zip(rows, plain_near_groups(rows)):
+        groups.setdefault(g, []).append(r)
+    expected = sorted((min((r[0] is None, r[0] or 0) for r in g) for g in groups.values()))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == expected
+    assert simhash.representatives(empty).collect() == []
+
+
+def test_near_copies(spark):
+    """Copies with a likeness over 0.85 are found, those under 0.6 are not; in one cell and in many."""
+    rng, rows, family = random.Random(8), [], {}
+    words = [f"w{i}" for i in range(3000)]
+
+    def shingles(t):
+        return {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+
+    for base in range(12):
+        text = [rng.choice(words) for _ in range(400)]
+        for copy in range(25):
+            own = list(text)
+            for _ in range(0 if not copy else rng.choice((1, 3, 4, 40))):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            family[len(rows)] = (base, own)
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.representatives(docs).collect()}
+    for i, (base, own) in family.items():
+        like = [(len(shingles(own) & shingles(o)) / len(shingles(own) | shingles(o)), j) for j, (b, o) in family.items() if b == base and j != i]
+        if i in kept:
+            assert not any(x >= 0.85 and j < i for x, j in like)
+        else:
+            assert max(like)[0] > 0.6
+    assert {25 * b for b in range(12)} <= kept and 50 < len(kept) < 150
+    given = simhash.sketches(docs).selectExpr("doc_id AS node", "fp", "keys").cache()
+    groups = []
+    for radius, cell in ((simhash.NEAR_RADIUS, 4096), (simhash.NEAR_RADIUS, 3), (300, 4096), (300, 2)):
+        groups.append(dict(map(tuple, simhash.components(simhash.near_links(given, radius, cell)).collect())))
+    assert groups[0] == groups[1] and len(groups[0]) == len(rows) - len(kept)
+    # At a radius that sets within a block exceed only in part, pivots leave some for the cells.
+    prints = [(0, int.from_bytes(r["fp"], "little"), set(r["keys"]), r["node"]) for r in given.collect()]
+    assert len({root for root in groups[2].values()}) <= 12 and all(family[a][0] == family[b][0] for a, b in groups[2].items())
+    root = {p[3]: p[3] for p in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x in prints:
+        for y in prints:
+            if x[3] < y[3] and x[2] & y[2] and (x[1] ^ y[1]).bit_count() <= 300:
+                a, b = sorted((find(x[3]), find(y[3])))
+                root[b] = a
+    expected = {i: find(i) for i in root if find(i) != i}
+    assert groups[2] == expected
+
+
+@pytest.mark.parametrize("radius", [0, 2, 40, 100, 127, 128])
+def test_wide_lanes(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, 2, dtype=np.uint64)
+    prints = np.array([base ^ np.packbits(rng.random(128) < rng.choice((0, 0.01, 0.2, 0.5, 1)), bitorder="little").view(np.uint64) for _ in range(100)])
+    padded = np.zeros((128, 2), np.uint64)
+    padded[:100] = prints
+    used = np.zeros(128, np.uint8)
+    used[:100] = 1
+    lanes = np.packbits(used.reshape(-1, 64), axis=1, bitorder="little").view(np.uint64)[:, 0]
+    who, block = np.repeat(np.arange(100), 2), np.tile(np.arange(2), 100)
+    found = simhash.wide_lanes(prints[who], block, simhash.planes_of(padded), lanes, radius)
+    near = {(int(i), int(b) * 64 + k) for i, b, w in zip(who, block, found.tolist()) for k in range(64) if w >> k & 1}
+    assert near == {(i, j) for i in range(100) for j in range(100) if np.bitwise_count(prints[i] ^ prints[j]).sum() <= radius}
 
 
 def plain_signatures(text, anchors):
@@ -238,7 +346,7 @@ def test_next_document_over_buckets_with_null_ids(spark):
     assert len(buckets) > 100 and sum(all(x[3].startswith("none") for x in b if not x[0]) for b in buckets.values()) > 50
 
 
-def test_similar_pairs(docs, rows):
+def test_similar_pairs(docs, rows, empty):
     anchors = ["the", "of", "and", "to"]
     members, pairs = spotsigs.similar_pairs(docs, 0.6, anchors)
     classes = {}
@@ -248,3 +356,4 @@ def test_similar_pairs(docs, rows):
     expected = {tuple(sorted((name[a], name[b]))) for a in name for b in name if a != b and a and b and len(a & b) / len(a | b) >= 0.6}
     assert {(r["a"], r["b"]) for r in pairs.collect()} == expected
     assert members.count() == len(rows)
+    assert [x.collect() for x in spotsigs.similar_pairs(empty)] == [[], []]

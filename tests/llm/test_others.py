@@ -10,44 +10,104 @@ import pytest
 from quillgraph.llm import langid, mixing, packing, quality, sharding, topk, warc
 
 
+def plain_best_fit(sizes, capacity, most=None):
+    """Item by item, largest first: the sums of the bins, or None if there are too many."""
+    rooms, sums = [], []
+    for s in sorted(sizes, reverse=True):
+        fits = [(room, i) for i, room in enumerate(rooms) if room >= s]
+        if not fits:
+            if len(rooms) == most:
+                return None
+            rooms.append(max(capacity, s))
+            sums.append(0)
+            fits = [(rooms[-1], len(rooms) - 1)]
+        i = min(fits)[1]
+        rooms[i] -= s
+        sums[i] += s
+    return sums
+
+
+def sums_of(runs):
+    sums = Counter()
+    for s, n, b in runs:
+        sums[b] += s * n
+    return [sums[b] for b in sorted(sums)]
+
+
 def test_best_fit_decreasing():
     rng = random.Random(2)
-    for _ in range(30):
+    for _ in range(60):
         capacity = rng.randint(20, 60)
-        sizes = sorted((rng.randint(1, 25) for _ in range(rng.randint(0, 80))), reverse=True)
-        rooms, plain = [], []
-        for s in sizes:
-            fits = [(room, i) for i, room in enumerate(rooms) if room >= s]
-            if not fits:
-                rooms.append(max(capacity, s))
-                fits = [(rooms[-1], len(rooms) - 1)]
-            i = min(fits)[1]
-            rooms[i] -= s
-            plain.append(i)
-        assert sharding.best_fit_decreasing(sizes, capacity) == plain
+        sizes = [rng.randint(1, rng.choice((5, 25))) for _ in range(rng.randint(0, 120))]
+        entries = sorted(Counter(sizes).items(), reverse=True)
+        runs = sharding.best_fit_decreasing(entries, capacity)
+        assert sums_of(runs) == plain_best_fit(sizes, capacity)
+        most = rng.randint(1, 30)
+        assert (sharding.best_fit_decreasing(entries, capacity, most) is None) == (plain_best_fit(sizes, capacity, most) is None)
+
+
+def plain_even(sizes, bins):
+    sizes, alone = sorted(sizes, reverse=True), []
+    while sizes and len(alone) < bins - 1 and sizes[0] * (bins - len(alone)) >= sum(sizes):
+        alone.append(sizes.pop(0))
+    if not sizes:
+        return alone
+    left = bins - len(alone)
+    low = high = max(sizes[0], -(-sum(sizes) // left))
+    step = 1
+    while plain_best_fit(sizes, high, left) is None:
+        low, high, step = high + 1, high + step, 2 * step
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if plain_best_fit(sizes, middle, left) is not None else (middle + 1, high)
+    return alone + plain_best_fit(sizes, high, left)
 
 
 def test_even_bins():
-    sizes = sorted([500, 90, 3, 3] + [7] * 200, reverse=True)
-    bins = sharding.even_bins(sizes, 4)
-    sums = Counter()
-    for s, b in zip(sizes, bins):
-        sums[b] += s
-    assert sums[0] == 500 and max(sums[b] for b in (1, 2, 3)) - min(sums[b] for b in (1, 2, 3)) <= 8
-    assert sharding.even_bins([], 4) == []
+    sizes = [500, 90, 3, 3] + [7] * 200
+    sums = sums_of(sharding.even_bins(sorted(Counter(sizes).items(), reverse=True), 4))
+    assert sums == plain_even(sizes, 4) and sums[0] == 500 and max(sums[1:]) - min(sums[1:]) <= 8
+    assert sharding.even_bins([], 4) == [] and sharding.even_bins([(9, 2)], 4) == [(9, 1, 0), (9, 1, 1)]
 
 
-def test_sharding(docs, rows, empty):
-    found = sharding.shard(docs, 3).collect()
+@pytest.mark.parametrize("shards", [3, 8, 5000])
+def test_sharding(docs, rows, empty, shards):
+    found = sharding.shard(docs, shards).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
-    where = {}
+    where, sums, groups = {}, Counter(), Counter()
     for r in found:
         where.setdefault((r["size"], r["text_crc32"]), set()).add(r["shard"])
+        sums[r["shard"]] += r["size"]
+        groups[r["size"], r["text_crc32"]] += r["size"]
     assert all(len(s) == 1 for s in where.values())
-    for k in range(3):
+    # The same shards as best fit decreasing of the groups one by one, at the same capacity.
+    assert [sums[k] for k in sorted(sums)] == plain_even(list(groups.values()), shards) and max(sums) < shards
+    for k in sums:
         slots = sorted(r["slot"] for r in found if r["shard"] == k)
         assert slots == list(range(len(slots)))
-    assert sharding.shard(empty).collect() == []
+    assert sharding.shard(empty, shards).collect() == []
+
+
+def test_shards_of_fixed_capacity(docs, empty):
+    sums, groups = Counter(), Counter()
+    for r in sharding.shard(docs, capacity=3000).collect():
+        sums[r["shard"]] += r["size"]
+        groups[r["size"], r["text_crc32"]] += r["size"]
+    assert [sums[k] for k in range(len(sums))] == plain_best_fit(groups.values(), 3000)
+    assert all(n <= 3000 or n in groups.values() for n in sums.values())
+    assert sharding.shard(empty, capacity=10).collect() == []
+
+
+def test_many_sizes_in_few_shards(spark):
+    """Sizes with many groups that are dealt over several shards, and one text that a third of the rows have."""
+    rows = [(i, f"{i:05d}" + "x" * (i % 3)) for i in range(4000)] + [(i, "hot") for i in range(2000)]
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    sums = Counter()
+    for r in found:
+        sums[r["shard"]] += r["size"]
+    assert len(found) == 6000 and len({r["shard"] for r in found if r["text_crc32"] == zlib.crc32(b"hot")}) == 1
+    rest = sorted(sums.values())[:-1] if 2000 * 4 * 8 > sum(sums.values()) else sorted(sums.values())
+    assert len(sums) == 8 and max(rest) - min(rest) <= 8
 
 
 def test_mixing(docs, rows, empty, spark):
@@ -76,7 +136,12 @@ def test_mixing(docs, rows, empty, spark):
     assert Counter(map(str, found)) == Counter(map(str, mixing.mix(docs.repartition(3)).collect()))
     copies = mixing.mixed(docs)
     assert copies.columns == docs.columns and copies.count() == sum(r["copies"] for r in found)
-    assert mixing.mix(empty).collect() == []
+    assert mixing.mix(empty).collect() == [] and mixing.mixed(empty).collect() == []
+    # Texts under null or repeated ids are drawn each for itself.
+    many = spark.createDataFrame([(None if i % 2 else 7, f"word{i} " * 5, "a") for i in range(2000)] + [(i, "w " * 10, "b") for i in range(1000)], "doc_id long, text string, source string")
+    some = mixing.mix(many).groupBy("source", "doc_id").sum("taken", "size").filter("source = 'a'").collect()
+    target = mixing.mix(many).filter("source = 'a'").first()["target"]
+    assert abs(sum(r["sum(taken)"] for r in some) - target) < 0.1 * target and all(r["sum(taken)"] for r in some)
     silent = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert [(r["taken"], r["target"]) for r in mixing.mix(silent).collect()] == [(0, 0.0), (0, 0.0)]
 
@@ -101,10 +166,34 @@ def test_language_id(spark, empty):
     assert {r["lang_pred"] for r in langid.identify(docs, {}).collect()} == {"und"}
 
 
-def test_language_id_rejects_narrow_margins():
-    same = langid.Classifier({"a": b"one two three four five " * 20, "b": b"one two three four five " * 20, "c": b"one two three four five " * 20, "d": b"one two three four five " * 20})
-    lang, score, margin = same("one two three")
-    assert lang == "a" and score == pytest.approx(0.25) and margin == 0
+def test_language_id_rejects_narrow_margins(spark):
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    vocabulary = {lang: [word(letters) for _ in range(300)] for lang, letters in (("a", "abcdefgh"), ("b", "ijklmnop"), ("c", "qrstuvwx"))}
+    prose = lambda lang, n: " ".join(rng.choice(vocabulary[lang]) for _ in range(n))
+    contents = {lang: prose(lang, 3000).encode() for lang in vocabulary}
+    clear = [(i, prose("abc"[i % 3], rng.randint(3, 300))) for i in range(60)]
+    half = [(100 + i, prose("a", 100) + " " + prose("b", 100)) for i in range(10)]
+    strange = [(200 + i, " ".join("".join(rng.choice("yzäöüß") for _ in range(6)) for _ in range(150))) for i in range(10)]
+    docs = spark.createDataFrame(clear + half + strange, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in langid.identify(docs, contents).collect()}
+    assert all(found[i]["lang_pred"] == "abc"[i % 3] and not found[i]["rejected"] for i, _ in clear)
+    assert sum(found[i]["rejected"] for i, _ in half) >= 8  # as much of one as of the other
+    assert all(found[i]["rejected"] for i, _ in strange)  # a language that was not learned
+    # Two dictionaries all but equal among four: a tie, whatever the score.
+    tied = contents | {"d": contents["a"], "e": contents["a"][:-8]}
+    for r in langid.identify(docs, tied).collect():
+        assert r["rejected"] == (r["doc_id"] >= 100 or r["doc_id"] % 3 == 0) or 100 <= r["doc_id"] < 200
+    one, score, margin = langid.Classifier({"a": contents["a"]})(clear[0][1])
+    assert one == "a" and score == 1 and margin > 0.1  # against no dictionary
+    assert langid.Classifier({"a": contents["a"]})(strange[0][1])[2] < langid.NARROW
+
+
+def test_language_id_learns_from_a_bounded_sample(spark):
+    """Rows that come again and again, and null ids, add nothing to what is collected."""
+    rows = [(None, "the same text over and over", "en")] * 500 + [(i, f"text number {i}", "fr") for i in range(500)]
+    found = langid.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=50)
+    assert found.get("en", b"") in (b"", b"the same text over and over") and 20 < found["fr"].count(b"number") < 90
 
 
 def plain_warc(rows):
@@ -146,6 +235,37 @@ def test_warc_members_and_index(tmp_path):
         warc.normalise(where("cut.gz"), where("o"), where("i"))
 
 
+def test_foreign_records(spark, tmp_path):
+    """Archives of others: a warcinfo, headers without blanks, folded ones, digests of other kinds or none, more blank lines."""
+    import base64
+    import gzip
+    import hashlib
+    import json
+
+    http = b"HTTP/1.1 200 OK\r\ncontent-length:5\r\n\r\nhello"
+    sha1 = base64.b32encode(hashlib.sha1(b"hello").digest())
+    made = [
+        b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 12\r\n\r\nsoftware: x\n\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type:response\r\nwarc-record-id:<urn:uuid:1>\r\nContent-Length:%d\r\n\r\n%s\r\n\r\n" % (len(http), http),
+        b"WARC/1.1\r\nContent-Length: %d\r\nWARC-Record-ID: <urn:page:5>\r\nWARC-Target-URI: http://a/\r\n  folded\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha1:%s\r\n\r\n%s\r\n\r\n" % (len(http), sha1, http),
+        b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:uuid:2>\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+    ]
+    (tmp_path / "in.gz").write_bytes(gzip.compress(made[0] + b"\r\n\r\n" + b"".join(made[1:])))
+    where = lambda n: f"file://{tmp_path}/{n}"
+    assert warc.normalise(where("in.gz"), where("out.gz"), where("index")) == 4
+    entries = [json.loads(x) for x in (tmp_path / "index").read_text().splitlines()]
+    data = (tmp_path / "out.gz").read_bytes()
+    assert [zlib.decompress(data[e["offset"] : e["offset"] + e["length"]], 31) for e in entries] == made
+    assert [(e["id"], e["type"], e["digest"]) for e in entries] == [(None, "warcinfo", None), ("<urn:uuid:1>", "response", None), ("<urn:page:5>", "response", f"sha1:{sha1.decode()}"), ("<urn:uuid:2>", "metadata", None)]
+    found = warc.read_back(spark.createDataFrame([(where("out.gz"), where("index"), 4)], "archive string, index string, n long")).collect()
+    digest = hashlib.sha256(b"hello").hexdigest()
+    assert sorted(map(tuple, found), key=str) == sorted([(None, 5, digest, "response", None), (5, 5, digest, "response", None)], key=str)
+    assert not warc.digest_fits("sha1:" + "A" * 32, b"hello") and not warc.digest_fits("sha256:" + "0" * 64, b"hello") and warc.digest_fits(None, b"")
+    (tmp_path / "bad.gz").write_bytes(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nxx"))
+    with pytest.raises(ValueError, match="no content length"):
+        warc.normalise(where("bad.gz"), where("o"), where("i"))
+
+
 def test_encoders_agree():
     from tokenizers import Tokenizer
 
@@ -189,7 +309,6 @@ def test_plan_fills_sequences(seed):
 def test_packing(docs, rows, empty):
     found = packing.pack(docs, with_ids=True).collect()
     encode = packing.encoder(packing.tokenizer_files())
-    whole = Counter(tuple([*encode(r[1] or ""), 0]) for r in rows)
     got, now = Counter(), []
     for r in sorted(found, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["piece"])):
         assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] <= 4 * 2048
@@ -200,7 +319,10 @@ def test_packing(docs, rows, empty):
         assert [r["start"] for r in own] == list(np.cumsum([0] + [r["length"] for r in own[:-1]]))
         got[tuple(np.frombuffer(ids, "<u4").tolist())] += 1
         now.append(doc)
-    assert got == Counter(tuple([*encode(r[1] or ""), 0]) for r in rows if r[0] in now) and sum(whole.values()) == len(rows)
+    assert got == Counter(tuple([*encode(r[1] or ""), 0]) for r in rows if r[0] in now)
+    # Rows with repeated and null ids: the same pieces as each row cut by itself.
+    pieces = Counter((r[0], k, start, zlib.crc32(np.array([*encode(r[1] or ""), 0], "<u4")[start : start + n].tobytes())) for r in rows for k, (start, n) in enumerate(packing.cuts(len(encode(r[1] or "")) + 1)))
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["ids_crc32"]) for r in found) == pieces
     by = {}
     for r in found:
         by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
@@ -233,6 +355,42 @@ def test_quality(spark, empty):
     assert {r["score"] for r in quality.score(docs, one).collect()} == {1.0}
 
 
+def test_quality_against_plain_version(spark):
+    """Vectors, pooling and the network's output, each from its definition."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abc") for _ in range(3)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice([*words, "7", "X!", "Long", "aa"]) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2 + [(4, 1), (5, 0)], "doc_id long, quality int")  # 4 and 5 have both labels
+    numbers, vectors, model = quality.learn(docs, labels, per_class=10_000, vocabulary=8)
+    training = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 and i not in (4, 5)]
+    ids_of = lambda text: quality.row_numbers(text, numbers).tolist()
+    counts = Counter(w for t in training for w in quality.TOKEN.findall(t))
+    assert set(numbers) == {*quality.SHAPES, *sorted(counts, key=lambda w: (-counts[w], w))[:8]}
+    names = sorted(numbers, key=numbers.get)
+    own = quality.index_vectors(names)
+    sums = np.zeros(own.shape)
+    for t in training:
+        ids = ids_of(t)
+        for i, a in enumerate(ids):
+            for d in range(1, quality.WINDOW + 1):
+                if i + d < len(ids):
+                    sums[a] += np.roll(own[ids[i + d]], d)
+                    sums[ids[i + d]] += np.roll(own[a], -d)
+    plain = sums / (np.linalg.norm(sums, axis=1, keepdims=True) + 1e-9) + own / quality.ONES**0.5
+    assert np.allclose(vectors, plain, atol=1e-6)
+    assert all((own != 0).sum(axis=1) == quality.ONES) and set(np.unique(own)) == {-1, 0, 1}
+    for r in quality.score(docs, (numbers, vectors, model)).collect():
+        ids = ids_of(rows[r["doc_id"]][1])
+        x = np.zeros(2 * quality.DIMENSIONS)
+        if ids:
+            x = np.concatenate((np.mean([plain[i] for i in ids], axis=0), np.sum([plain[i] for i in set(ids)], axis=0) / len(ids) ** 0.5 / 8))
+        z = (x - model.mean) / model.scale
+        w1, b1, w2, b2 = model.weights
+        logit = sum(max(0.0, float(z @ w1[:, k] + b1[k])) * w2[k] for k in range(len(w2))) + b2[0]
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-logit / model.temperature)), abs=1e-4)
+
+
 def plain_top(rows, k, every):
     vectors = []
     for i, (vec_id, v) in enumerate(rows):
@@ -263,10 +421,14 @@ def test_large_components(spark):
     rows = [(0, [3e5, 1.0]), (20, [3e5, 2.0]), (7, [1e30, -1e30]), (8, [-4e6, 5e6])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     as_ints = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    rng = random.Random(3)
+    rows += [(i, [rng.choice((1.0, 1e14, 3e9, -2e5)) * rng.randint(-9, 9), rng.random()]) for i in range(40, 90)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    as_ints = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
     clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
     expected = []
     for q, a in as_ints:
         if q % 20 == 0:
             best = sorted((-clip(sum(x * y for x, y in zip(a, b))), c) for c, b in as_ints if c != q)
-            expected += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+            expected += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best[:20])]
     assert sorted(map(tuple, topk.top_k(frame).collect())) == sorted(expected)

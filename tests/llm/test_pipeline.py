@@ -6,10 +6,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from quillgraph.llm import langid, packing
 
-from .test_dedup import plain_fingerprint
+from .test_dedup import plain_near_groups
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -19,25 +20,22 @@ def rows_of(df):
 
 
 def plain_language_id(spark, docs, rows):
-    classify = langid.Classifier(langid.dictionaries(docs))
-    return [r for r in rows if (lambda x: x[0] != "und" and x[1] >= langid.LEAST_SCORE)(classify(r[1]))]
+    contents = langid.dictionaries(docs)
+    coders = [zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False) for x in contents.values()]
+    out = []
+    for r in rows:
+        letters = " ".join("".join(c if c.isalpha() else " " for c in (r[1] or "").lower()).split()).encode()
+        if letters:
+            least, after = sorted(len(c.compress(letters + b" " * 128)) for c in coders)[:2]
+            if (after - least) / least >= 0.03:
+                out.append(r)
+    return out
 
 
 def plain_near_duplicates(spark, docs, rows):
-    prints, root = [plain_fingerprint(r[1]) for r in rows], list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 2:
-                root[find(i)] = find(j)
     groups = {}
-    for i, r in enumerate(rows):
-        groups.setdefault(find(i), []).append(r)
+    for r, g in zip(rows, plain_near_groups(rows)):
+        groups.setdefault(g, []).append(r)
     return [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
 
 
@@ -86,7 +84,8 @@ def plain_mix(spark, docs, rows):
     out = []
     for r in rows:
         rate = targets[r[3]] / sizes[r[3]] if sizes[r[3]] else 0
-        u = int(hashlib.md5(f"mix:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:13], 16) / (1 << 52)
+        own = hashlib.md5((r[1] or "").encode()).hexdigest()
+        u = int(hashlib.md5(f"mix:{'null' if r[0] is None else r[0]}:{own}".encode()).hexdigest()[:13], 16) / (1 << 52)
         out += [r] * (int(rate) + (u < rate - int(rate)))
     return out
 
@@ -140,3 +139,8 @@ def test_run(spark, mixed_prose, tmp_path):
         seen.append(Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, f"file://{tmp_path}/{n}").collect()))
     assert seen[0] == seen[1] and seen[0]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_run_on_no_documents(spark, empty, tmp_path):
+    empty.write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").collect() == []
