@@ -7,18 +7,18 @@ and appends to tables; checkpointed offsets take the place of a saved cursor.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.operators.resolve import numbered
 from quillgraph.schema import DOCUMENT
+from quillgraph.sources.workspace import exists
 
 
-def documents(spark: SparkSession, folder: str, files_per_batch: int | None = None, archive: str | None = None) -> DataFrame:
-    """[ST-01, ST-03] The queue as a stream; finished files go to ``archive`` if there is one."""
-    reader = spark.readStream.schema(DOCUMENT).option("multiLine", True)
+def documents(spark: SparkSession, folder: str, files_per_batch: int | None = None, archive: str | None = None, whole_files: bool = True) -> DataFrame:
+    """[ST-01, ST-03] The queue as a stream, a document a file (or a line); finished files go to ``archive`` if there is one."""
+    reader = spark.readStream.schema(DOCUMENT).option("multiLine", whole_files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive:
@@ -29,8 +29,7 @@ def documents(spark: SparkSession, folder: str, files_per_batch: int | None = No
 def _table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A table, empty where there is none yet."""
     empty = spark.createDataFrame([], ddl)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return empty
     return spark.read.schema(empty.schema).parquet(path)
 
@@ -63,22 +62,29 @@ class Ingest:
         batch.unpersist()
 
 
-def run(spark: SparkSession, folder: str, root: str, files_per_batch: int | None = None, stop_marker: str | None = None) -> int:
+def run(spark: SparkSession, folder: str, root: str, files_per_batch: int | None = None, stop_marker: str | None = None, whole_files: bool = True) -> int:
     """[ST-04, ST-05] Works off the queue and ends; returns the number of micro-batches.
 
-    With a marker file the query stops after the batch in which the marker appears.
+    A marker file is looked for before each batch. If it is there the batch
+    fails before any work and is never committed, so the next run without the
+    marker begins with it: nothing is lost.
     """
-    ingest, count = Ingest(root), 0
+    ingest, count, stopped = Ingest(root), 0, False
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        nonlocal count
-        if stop_marker and os.path.exists(stop_marker):
-            return
+        nonlocal count, stopped
+        if stop_marker and exists(spark, stop_marker):
+            stopped = True
+            raise RuntimeError(f"stopped by {stop_marker}")
         ingest(batch, batch_id)
         count += 1
 
-    query = documents(spark, folder, files_per_batch).writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+    query = documents(spark, folder, files_per_batch, whole_files=whole_files).writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not stopped:
+            raise
     return count
 
 
