@@ -36,12 +36,16 @@ def canonical(scheme: str, literal: Column) -> Column:
 def works(records: DataFrame) -> DataFrame:
     """[RS-28, RS-29, RS-32, RS-34] One row per work: key, and the fields of HANDLERS.
 
-    The key is the DOI's, or else of the first ISBN or ISSN; a record without any
-    is a work of its own by its content. Records with one key are one work, of the
-    fullest record.
+    The key is the DOI's, or else of the first ISBN or ISSN, if these are the
+    work's own: those of a record with a container name the container, and would
+    make one work of all its parts. A record without any is a work of its own by
+    its content. Records with one key are one work, of the fullest record; ties
+    by title.
     """
-    ids = F.coalesce(canonical("doi", F.nullif(F.trim("DOI"), F.lit(""))), canonical("isbn", F.get(tx.isbn_list(F.col("ISBN")), F.lit(0))), canonical("issn", F.get(tx.issn_list(F.col("ISSN")), F.lit(0))))
-    rows = records.withColumn("key", F.coalesce(ids, F.concat(F.lit("text|"), F.md5(F.to_json(F.struct("title", "author", "page", "volume", "issue"))))))
+    own = HANDLERS["container"]().isNull()
+    ids = F.coalesce(canonical("doi", F.nullif(F.trim("DOI"), F.lit(""))), F.when(own, canonical("isbn", F.get(tx.isbn_list(F.col("ISBN")), F.lit(0)))), F.when(own, canonical("issn", F.get(tx.issn_list(F.col("ISSN")), F.lit(0)))))
+    content = F.struct("title", "container-title", "author", "page", "volume", "issue")
+    rows = records.withColumn("key", F.coalesce(ids, F.concat(F.lit("text|"), F.md5(F.to_json(content)))))
     named = rows.select("key", *[f().alias(n) for n, f in HANDLERS.items()], "volume", "issue", "publisher", "member", "author", "type", "ISSN", "ISBN")
     filled = sum((F.col(n).isNotNull().cast("int") for n in HANDLERS), F.lit(0))
     return first_by(named.withColumn("__full", filled), ["key"], F.col("__full").desc(), F.col("title")).drop("__full")

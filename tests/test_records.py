@@ -44,6 +44,23 @@ def test_works(works):
     assert found[None]["start"] is None and found["Three"]["class"] is None
 
 
+def test_parts_of_one_container_stay_apart(spark):
+    """Two articles of a journal and two chapters of a book, none with a DOI, are four works; two records of one book are one."""
+    data = [
+        record(type="journal-article", title=["One"], container_title=["J"], ISSN=["1234-5678"], page="1-2"),
+        record(type="journal-article", title=["Two"], container_title=["J"], ISSN=["1234-5678"], page="3-4"),
+        record(type="book-chapter", title=["Three"], container_title=["B"], ISBN=["978-1"]),
+        record(type="book-chapter", title=["Four"], container_title=["B"], ISBN=["978-1"]),
+        record(type="book", title=["B"], ISBN=["978-1"]),
+        record(type="book", title=["B"], subtitle=["fuller"], ISBN=["978-1"]),
+        record(type="journal", title=["J"], ISSN=["1234-5678"], container_title=["  "]),
+    ]
+    found = rc.works(spark.createDataFrame(data, WORK))
+    assert sorted(r["title"] for r in found.collect()) == ["B", "Four", "J", "One", "Three", "Two"]
+    assert {r["key"]: r["subtitle"] for r in found.collect() if r["title"] in "BJ"} == {"isbn|978-1": "fuller", "issn|1234-5678": None}
+    assert rows(rc.identifiers(found)) == [("container|b", "isbn", "978-1"), ("container|j", "issn", "1234-5678"), ("isbn|978-1", "isbn", "978-1"), ("issn|1234-5678", "issn", "1234-5678")]
+
+
 def test_identifiers_and_contributors(spark, works):
     assert rows(rc.identifiers(works)) == [("container|j", "issn", "1234-5678"), ("doi|10.1/a", "doi", "10.1/a"), ("isbn|978-1", "isbn", "978-1")]
     matched = spark.createDataFrame([("doi|10.1/a", 0, "0-1"), ("isbn|978-1", 0, "0-1")], "br string, pos int, orcid string")
