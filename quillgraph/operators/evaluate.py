@@ -16,12 +16,12 @@ def above(sheet: DataFrame, threshold: float) -> DataFrame:
 
 
 def precision_recall(relevant: DataFrame, retrieved: DataFrame) -> DataFrame:
-    """[EV-01] precision, recall and f1 over sets of ids (id), nulls left out."""
+    """[EV-01] precision, recall and f1 over sets of ids (id), nulls left out; null where a divisor is zero."""
     want, got = relevant.select(normal("id").alias("id")).filter("id IS NOT NULL").distinct(), retrieved.select(normal("id").alias("id")).filter("id IS NOT NULL").distinct()
     flags = want.withColumn("w", F.lit(1)).join(got.withColumn("g", F.lit(1)), "id", "full")
     n = flags.agg(F.count("w").alias("w"), F.count("g").alias("g"), F.count(F.when(F.col("w").isNotNull() & F.col("g").isNotNull(), 1)).alias("b"))
-    p, r = F.col("b") / F.nullif("g", F.lit(0)), F.col("b") / F.nullif("w", F.lit(0))
-    return n.select(F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(2 * p * r / (p + r), 6).alias("f1"))
+    p, r = F.try_divide("b", "g"), F.try_divide("b", "w")
+    return n.select(F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(F.try_divide(2 * p * r, p + r), 6).alias("f1"))
 
 
 def agreement(sheet: DataFrame, threshold: float) -> DataFrame:
