@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,12 +117,38 @@ def references_of(documents: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def from_pages(pages: DataFrame) -> tuple[DataFrame, str | None]:
-    """[SRC-01, SRC-02, ST-01] Articles of search pages (JSON text, one per row) and the cursor to go on from, null after an empty page."""
+    """[SRC-01, SRC-02, ST-01] Articles of search pages (page, value: JSON text) and the cursor to go on from: that of the last page, null if it is empty.
+
+    Cursors are opaque; only the number of a page tells which one is the last.
+    """
     schema = "resultList struct<result: array<struct<id: string, source: string, doi: string, pmid: string, pmcid: string>>>, nextCursorMark string"
     rows = pages.select(F.from_json("value", schema).alias("p"), *[c for c in pages.columns if c != "value"])
     articles = rows.select(F.explode("p.resultList.result").alias("a")).select("a.*").withColumn("localid", F.concat_ws("-", "source", "id"))
-    last = rows.select("p.nextCursorMark", F.size("p.resultList.result").alias("n")).agg(F.max("nextCursorMark").alias("c"), F.min("n").alias("n")).first()
-    return articles, last["c"] if last and last["n"] else None
+    last = rows.agg(F.max_by(F.struct("p.nextCursorMark", F.size("p.resultList.result").alias("n")), "page").alias("x")).select("x.*").first()
+    return articles, last["nextCursorMark"] if last["n"] is not None and last["n"] > 0 else None
+
+
+def paged(fetch: Callable[[str], str | None], start: str | None = None) -> Iterator[tuple[int, str]]:
+    """[SRC-01, ST-01] Number and JSON of the pages from a cursor on (from ``*`` if there is none), up to an empty one.
+
+    ``fetch`` gives the page of a cursor, null if that fails; then the search
+    starts once more from ``*``, and a second failure ends it.
+    """
+    cursor, again, number = start or "*", start is not None, 0
+    while True:
+        page = fetch(cursor)
+        if page is None:
+            if not again:
+                return
+            cursor, again = "*", False
+            continue
+        found = json.loads(page)
+        if not found.get("resultList", {}).get("result"):
+            return
+        yield number, page
+        number += 1
+        if (cursor := found.get("nextCursorMark")) is None:
+            return
 
 
 def reference_lists(pages: DataFrame, papers: DataFrame) -> DataFrame:
