@@ -7,12 +7,14 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
 from quillgraph.operators import graph as gr
 from quillgraph.schema import DOCUMENT
+from quillgraph.sources.workspace import exists, written
 
 
 def read_extraction_table(spark: SparkSession, path: str) -> DataFrame:
@@ -82,17 +84,8 @@ def store_shards(quads: DataFrame, path: str, merge: bool = True) -> None:
     spark = quads.sparkSession
     keys = ["kind", "prefix", "dir_split", "file_split"]
     rows = with_shard(quads)
-    there = None
-    if merge:
-        try:
-            there = spark.read.parquet(path)
-        except Exception as e:  # the first time there is nothing to merge with
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-    if there is not None:
-        old = there.select(*quads.columns, *[F.col(k).cast("string").alias(k) for k in keys]).join(rows.select(*keys).distinct(), keys, "left_semi")
-        from quillgraph.sources.workspace import written
-
+    if merge and exists(spark, path):  # the first time there is nothing to merge with
+        old = spark.read.schema(rows.schema).parquet(path).select(*quads.columns, *keys).join(rows.select(*keys).distinct(), keys, "left_semi")
         rows = written(rows.unionByName(old).dropDuplicates(["g", "s", "p", "o", "o_kind"]), "shards")
     rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
@@ -106,9 +99,10 @@ def store_references(documents: DataFrame, path: str, hour: str) -> None:
 
 
 def upload(updates: DataFrame, send: Callable[[str], bool], path: str) -> tuple[int, int]:
-    """[SNK-08, SNK-09] Sends update requests (batch, request) in order by ``send``; the failed ones are written to ``path``. Returns sent and failed.
+    """[SNK-09] Sends update requests (batch, request) in order by ``send``; the failed ones are written to ``path``. Returns sent and failed.
 
-    Requests are few, as each holds many entities; they are fetched one partition at a time.
+    The order of requests matters, so one sender takes them, a partition at a
+    time; each holds many entities, and only those that fail are kept.
     """
     failed, sent = [], 0
     for r in updates.orderBy("batch").toLocalIterator():
@@ -121,6 +115,37 @@ def upload(updates: DataFrame, send: Callable[[str], bool], path: str) -> tuple[
     return sent, len(failed)
 
 
+def store_and_upload(quads: DataFrame, updates: DataFrame, send: Callable[[str], bool], path: str) -> bool:
+    """[SNK-08] Stores the shards, then uploads all or nothing; returns whether it uploaded.
+
+    The shards are written to a folder of their own and counted there. If that
+    fails or rows are missing, nothing is sent and a marker
+    (``_NOT_UPLOADED``) with the reason is left; a later call that succeeds takes
+    it away. Requests that the receiver refuses are kept under ``errors`` as by
+    :func:`upload`, with the marker.
+    """
+    spark = quads.sparkSession
+    marker, reason = f"{path}/_NOT_UPLOADED", None
+    try:
+        store_shards(quads, f"{path}/shards", merge=False)
+        wanted, there = quads.count(), spark.read.parquet(f"{path}/shards").count()
+        reason = f"{there} of {wanted} statements stored" if there < wanted else None
+    except PySparkException as e:
+        reason = f"not stored: {type(e).__name__}"
+    if reason is None:
+        failed = upload(updates, send, f"{path}/errors")[1]
+        reason = f"{failed} requests refused" if failed else None
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(marker)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if reason is None:
+        system.delete(hadoop, False)
+        return True
+    with_reason = system.create(hadoop, True)
+    with_reason.writeBytes(reason)
+    with_reason.close()
+    return False
+
+
 def fetch(url: str, tries: int = 6, wait: float = 10.0, timeout: float = 30.0, opener=urllib.request.urlopen, sleep=time.sleep) -> tuple[str, str | None]:
     """[SRC-14] Status (ok, not_found or error) and text or messages. Not found is an answer, and ends the tries; each kind of error is told once."""
     errors: list[str] = []
