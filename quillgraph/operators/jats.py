@@ -36,45 +36,68 @@ def _squeezed(text: str | None) -> str:
     return " ".join((text or "").split())
 
 
+#: What stands between two pieces of a citation, by where they come from: names of a group of persons, or fields.
+BETWEEN = {("names", "names"): ", ", ("fields", "names"): ", ", ("names", "fields"): ". "}
+#: Between two fields, by whether the citation lists its elements or has running text.
+BETWEEN_FIELDS = {"element-citation": ", ", "citation": ", ", "mixed-citation": " "}
+LABELS = {"doi": "DOI: ", "pmid": "PMID: ", "pmcid": "PMC: "}
+DASHES = ("-", "–")
+MARKS = (*DASHES, *",.!?;:")
+
+
+def citation_pieces(cited) -> Iterator[tuple[str, str, str, str]]:
+    """Where it comes from, label, text and following text of the citation itself and of each element in it, in order of the document."""
+    yield "fields", "", cited.text or "", ""
+    todo = [(child, "fields") for child in reversed(cited)]
+    while todo:
+        e, source = todo.pop()
+        if isinstance(e, str):
+            yield source, "", "", e
+            continue
+        yield source, LABELS.get(e.get("pub-id-type"), "") if e.tag == "pub-id" else "", e.text or "", ""
+        todo.append((e.tail or "", source))
+        todo += [(child, "names" if e.tag == "person-group" else source) for child in reversed(e)]
+
+
+def tidied(text: str) -> str:
+    """Spaces and marks of a text put together from pieces set right, mark by mark.
+
+    No space stands before a mark but a dash's, none after a dash or a bracket
+    that opens; of marks next to each other the last one stays; stops at the
+    start of brackets go.
+    """
+    out: list[str] = []
+    for token in re.findall(r"[-–,.!?;:( ]|[^-–,.!?;:( ]+", text):
+        last = out[-1] if out else ""
+        if token == " ":
+            if last not in ("", "(", *DASHES):
+                out.append(token)
+        elif token in MARKS:
+            if last == " " and (token not in DASHES or len(out) > 1 and out[-2] in MARKS):
+                out.pop()
+                last = out[-1] if out else ""
+            if last in MARKS:
+                out[-1] = token
+            elif not (last == "(" and token == "."):
+                out.append(token)
+        else:
+            out.append(token)
+    return "".join(out)
+
+
 def citation_text(ref) -> str | None:
-    """[EX-02] The reference as one text; what is put between two elements depends on where they stand."""
-    cited = next((e for e in ref if e.tag in ("element-citation", "mixed-citation", "citation")), None)
+    """[EX-02] The reference as one text; what is put between two pieces depends on where both come from."""
+    cited = next((e for e in ref if e.tag in BETWEEN_FIELDS), None)
     if cited is None:
         return None
-    listed = cited.tag != "mixed-citation"
-    out: list[str] = []
-    state = {"first": True, "people": False}
-
-    def walk(e, in_people):
-        for child in e:
-            inside = in_people or child.tag == "person-group"
-            if _squeezed(child.text):
-                if not state["first"]:
-                    # Names of a group are listed; the group ends with a stop; then fields are listed or run on.
-                    if in_people:
-                        mark = ", "
-                    elif state["people"]:
-                        mark = ". "
-                    else:
-                        mark = ", " if listed else " "
-                    out.append(mark)
-                    state["people"] = in_people
-                state["first"] = False
-            if child.tag == "pub-id":
-                out.append({"doi": "DOI: ", "pmid": "PMID: ", "pmcid": "PMC: "}.get(child.get("pub-id-type"), ""))
-            out.append(child.text or "")
-            walk(child, inside)
-            out.append(child.tail or "")
-
-    out.append(cited.text or "")
-    if _squeezed(cited.text):
-        state["first"] = False
-    walk(cited, False)
-    text = _squeezed("".join(out))
-    # Clean-up: no space before a mark or after a dash, the last of two marks in a row, nothing at the start of brackets.
-    for pattern, new in ((r" ([,.!?;:])", r"\1"), (r"([-–]) ", r"\1"), (r"[-–,.!?;:] ?([-–,.!?;:])", r"\1"), (r"\((\. ?)+", "("), (r"\( +", "(")):
-        text = re.sub(pattern, new, text)
-    return text or None
+    text, before = "", None
+    for source, label, own, after in citation_pieces(cited):
+        if own.strip():
+            if before:
+                text += BETWEEN.get((before, source), BETWEEN_FIELDS[cited.tag])
+            before = source
+        text += label + own + after
+    return tidied(_squeezed(text)) or None
 
 
 def references(root) -> list[tuple]:
