@@ -49,7 +49,7 @@ WORK_TYPES = {
     "journal-article": "JournalArticle", "journal-issue": "JournalIssue", "journal-volume": "JournalVolume", "proceedings": "AcademicProceedings", "proceedings-article": "ProceedingsPaper",
     "reference-book": "ReferenceBook", "reference-entry": "ReferenceEntry", "report": "ReportDocument", "report-series": "Series", "standard-series": "Series", "standard": "SpecificationDocument",
 }
-#: The container of each work type that has one.
+# The container of each work type that has one, and the types whose own identifiers are ISSNs and ISBNs.
 CONTAINERS = {
     "journal-article": "journal-issue", "journal-issue": "journal-volume", "journal-volume": "journal", "book-chapter": "book", "book-part": "book", "book-section": "book", "book-track": "book",
     "book": "book-series", "book-set": "book-series", "component": "other", "proceedings-article": "proceedings", "reference-entry": "reference-book", "report": "report-series", "standard": "standard-series",

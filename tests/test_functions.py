@@ -77,7 +77,7 @@ def test_iri_parts(spark):
 
 
 def test_fuzzy_choice(spark):
-    text = "Peroni, S. (2014). The semantic publishing and referencing ontologies. In Semantic web technologies and legal scholarly publishing."
+    text = "Doe, J. (2014). The semantic publishing and referencing ontologies. In Semantic web technologies and legal scholarly publishing."
     titles = ["Semantic Web Technologies and Legal Scholarly Publishing of Today", "Legal ontologies", "The semantic publishing and referencing ontologies"]
     hits = spark.createDataFrame([(1, text, i + 1, t, 90.0) for i, t in enumerate(titles)] + [(2, text, 1, titles[2], 10.0)], "query_id int, text string, rank int, title string, score double")
     found = mt.fuzzy_choice(hits, least_score=50).collect()

@@ -109,6 +109,8 @@ def test_evaluation(spark):
     assert evaluate.best_threshold(sweep) == 2
     want, got = spark.createDataFrame([("A ",), ("b",), (None,)], "id string"), spark.createDataFrame([("a",), ("c",), ("c",)], "id string")
     assert rows(evaluate.precision_recall(want, got)) == [(0.5, 0.5, 0.5)]
+    assert rows(evaluate.precision_recall(want, spark.createDataFrame([("z",)], "id string"))) == [(0.0, 0.0, None)]
+    assert rows(evaluate.precision_recall(want.limit(0), want.limit(0))) == [(None, None, None)]
     terms, near = spark.createDataFrame([("a",), ("b",)], "term string"), spark.createDataFrame([("a", 0.6)], "term string, similarity double")
     assert rows(evaluate.coverage(terms, near, [0.5, 0.7])) == [(0.5, 1, 1), (0.7, 0, 2)]
 
@@ -212,6 +214,50 @@ def test_upload_keeps_what_failed(spark, tmp_path):
     assert [r["request"] for r in spark.read.json(f"{tmp_path}/err").collect()] == ["bad"]
 
 
+def test_upload_of_all_or_nothing(spark, tmp_path):
+    quads = spark.createDataFrame([("http://g/br/", f"http://g/br/{i}", "http://p", "x", "lit", None) for i in (1, 2, 1500)], "g string, s string, p string, o string, o_kind string, o_dt string")
+    updates, sent = spark.createDataFrame([(1, "second"), (0, "first")], "batch long, request string"), []
+    take = lambda r: sent.append(r) or True
+    fail = F.udf(lambda o: 1 / 0, "string")
+    assert not files.store_and_upload(quads.withColumn("o", F.when(F.col("s").endswith("1500"), fail("o")).otherwise(F.col("o"))), updates, take, f"{tmp_path}/a")
+    assert sent == [] and (tmp_path / "a/_NOT_UPLOADED").read_text().startswith("not stored")
+    assert files.store_and_upload(quads, updates, take, f"{tmp_path}/a")
+    assert sent == ["first", "second"] and not (tmp_path / "a/_NOT_UPLOADED").exists() and spark.read.parquet(f"{tmp_path}/a/shards").count() == 3
+    assert not files.store_and_upload(quads, updates, lambda r: r == "first", f"{tmp_path}/b")
+    assert (tmp_path / "b/_NOT_UPLOADED").read_text() == "1 requests refused" and [r["request"] for r in spark.read.json(f"{tmp_path}/b/errors").collect()] == ["second"]
+
+
+def test_search_cursor(spark):
+    import json
+
+    page = lambda ids, cursor: json.dumps({"resultList": {"result": [{"id": i, "source": "MED"} for i in ids]}, "nextCursorMark": cursor})
+    web = {"*": page("ab", "zz"), "zz": page("c", "aa"), "aa": page("", "aa")}
+    pages = list(extract.paged(web.get))
+    found, cursor = extract.from_pages(spark.createDataFrame(pages, "page int, value string"))
+    assert rows(found.select("localid")) == [("MED-a",), ("MED-b",), ("MED-c",)] and cursor == "aa"  # not the largest
+    assert extract.from_pages(spark.createDataFrame([*pages, (2, web["aa"])], "page int, value string"))[1] is None
+    assert [n for n, _ in extract.paged(web.get, "zz")] == [0]
+    assert [json.loads(p)["nextCursorMark"] for _, p in extract.paged(web.get, "lost")] == ["zz", "aa"]  # once more from the start
+    asked = []
+    assert list(extract.paged(lambda c: asked.append(c), "lost")) == [] and asked == ["lost", "*"]
+    assert extract.from_pages(spark.createDataFrame([], "page int, value string"))[1] is None
+
+
+@pytest.mark.parametrize(
+    ("xml", "text"),
+    [
+        ("<element-citation><person-group><name><surname>Doe</surname><given-names>J</given-names></name><name><surname>Roe</surname></name></person-group><year>1999</year></element-citation>", "Doe, J, Roe. 1999"),
+        ("<mixed-citation>Doe J. <article-title>On</article-title>. <year>1999</year> <volume>4</volume> ( <issue>. 2</issue>) : <fpage>3</fpage>- <lpage>9</lpage> .</mixed-citation>", "Doe J. On. 1999 4 (2): 3-9."),
+        ("<mixed-citation><person-group><string-name>Doe J</string-name></person-group> <source>Book</source>,, x , ; y</mixed-citation>", "Doe J. Book, x; y"),
+        ("<citation>Old <pub-id pub-id-type='pmcid'>12</pub-id><pub-id pub-id-type='other'>7</pub-id></citation>", "Old, PMC: 12, 7"),
+        ("<element-citation> </element-citation>", None),
+        ("<other>x</other>", None),
+    ],
+)
+def test_citation_text_of_xml(xml, text):
+    assert jats.citation_text(jats.ElementTree.fromstring(f"<ref>{xml}</ref>")) == text
+
+
 SPEC = """#url /api/v1
 #type api
 
@@ -260,3 +306,37 @@ def test_queue(spark, tmp_path):
     (todo / "6.json").write_text(doc("10.1/d"))
     (tmp_path / ".stop").write_text("")
     assert queue.run(spark, str(todo), root, stop_marker=str(tmp_path / ".stop")) == 0
+    (tmp_path / ".stop").unlink()
+    assert queue.run(spark, str(todo), root, stop_marker=str(tmp_path / ".stop")) == 1  # what was stopped is worked off
+    assert rows(spark.read.parquet(f"{root}/done").select("doi", "num")) == [("10.1/a", 1), ("10.1/c", 2), ("10.1/d", 3)]
+
+
+def test_queue_stopped_in_the_middle(spark, tmp_path, monkeypatch):
+    """The marker appears after the first of three documents; the next run finds the others, and each is there once."""
+    todo, marker, root = tmp_path / "todo", tmp_path / ".stop", f"{tmp_path}/root"
+    todo.mkdir()
+    for i in range(3):
+        (todo / f"{i}.json").write_text(f'{{"doi": "10.1/{i}", "references": []}}')
+    work = queue.Ingest.__call__
+
+    def once(self, batch, batch_id):
+        work(self, batch, batch_id)
+        marker.write_text("")
+
+    monkeypatch.setattr(queue.Ingest, "__call__", once)
+    assert queue.run(spark, str(todo), root, files_per_batch=1, stop_marker=str(marker)) == 1
+    assert spark.read.parquet(f"{root}/done").count() == 1
+    assert queue.run(spark, str(todo), root, files_per_batch=1, stop_marker=str(marker)) == 0
+    monkeypatch.setattr(queue.Ingest, "__call__", work)
+    marker.unlink()
+    assert queue.run(spark, str(todo), root, files_per_batch=1, stop_marker=str(marker)) == 2
+    done = spark.read.parquet(f"{root}/done").select("doi", "num").collect()
+    assert sorted(r["doi"] for r in done) == ["10.1/0", "10.1/1", "10.1/2"] and sorted(r["num"] for r in done) == [1, 2, 3]
+    (todo / "bad.json").write_text('{"doi": "10.1/9"}')
+
+    def broken(self, batch, batch_id):
+        raise ValueError("broken")
+
+    monkeypatch.setattr(queue.Ingest, "__call__", broken)
+    with pytest.raises(Exception, match="broken"):  # a failure of the work is no stop
+        queue.run(spark, str(todo), root, stop_marker=str(marker))
