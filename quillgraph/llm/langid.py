@@ -30,8 +30,10 @@ LEVEL = 9
 PADDING = b" " * 128
 #: Weight of a byte of difference in the score.
 STEEP = 0.25
-#: A choice is rejected where the next language needs less than this share more than the bytes of the best one.
+#: A choice is rejected where the next language needs less than this share more than the bytes of the best one. A
+#: dictionary stops gaining in long texts, which become their own; so the share is of so many bytes at most.
 NARROW = 0.03
+SATURATED = 1024
 UNKNOWN = "und"
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -88,7 +90,7 @@ class Classifier:
             self.encoders.append(zstandard.ZstdCompressor(dict_data=made, level=level, write_content_size=False, write_checksum=False))
 
     def __call__(self, text: str | None) -> tuple[str, float, float | None]:
-        """Language, score, and margin: what the next language needs more, as a share of the bytes of the best (null if there is no choice).
+        """Language, score, and margin: what the next language needs more, as a share of the bytes of the best, SATURATED at most (null if there is no choice).
 
         Where only one language was learned, the next one is the encoding without a dictionary.
         """
@@ -100,7 +102,7 @@ class Classifier:
         least = sizes[order[0]]
         after = sizes[order[1]] if len(sizes) > 1 else len(self.plain.compress(data + PADDING))
         score = 1 / sum(math.exp(-STEEP * min(s - least, 2000)) for s in sizes)
-        return self.langs[order[0]], score, (after - least) / least
+        return self.langs[order[0]], score, (after - least) / min(least, SATURATED)
 
 
 def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW) -> DataFrame:
@@ -111,7 +113,7 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW
     encoding (ties: the first in ``contents``) with a score of 1 / sum over
     languages of exp(-STEEP * bytes above the least). rejected also where the
     margin, the bytes that the next language needs more as a share of the
-    least, is under ``narrow``. Whole texts count, of any length. Repeated rows are rows of their
+    least (SATURATED at most), is under ``narrow``. Whole texts count, of any length. Repeated rows are rows of their
     own; an empty table gives no rows. Columns of docs keep their place; those
     named like the results are replaced.
     """

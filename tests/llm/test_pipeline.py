@@ -27,7 +27,7 @@ def plain_language_id(spark, docs, rows):
         letters = " ".join("".join(c if c.isalpha() else " " for c in (r[1] or "").lower()).split()).encode()
         if letters:
             least, after = sorted(len(c.compress(letters + b" " * 128)) for c in coders)[:2]
-            if (after - least) / least >= 0.03:
+            if after - least >= 0.03 * min(least, 1024):
                 out.append(r)
     return out
 
