@@ -49,24 +49,24 @@ def without_identifier(works: DataFrame, ident: DataFrame) -> DataFrame:
 
 def summary(c) -> DataFrame:
     """check_id and n for the checks over a corpus of entity tables."""
-    chapters = c.br.filter("type = 'BookChapter'")
+    chapters, books = c.br.filter("type = 'BookChapter'"), c.br.filter("type = 'Book'")
     found = {
         "CC-01": shared_identifiers(c.ident.filter("scheme = 'issn'")),
         "CC-02": repeated_numbers(c.volume),
         "CC-03": repeated_numbers(c.issue),
         "CC-13": shared_identifiers(c.ident),
-        "CC-14": not_part_of(chapters, c.book),
+        "CC-14": not_part_of(chapters, books),
         "CC-15": not_part_of(c.volume, c.journal),
-        "CC-16": without_parts(c.volume, c.issue),
-        "CC-17": without_parts(c.issue, c.article),
-        "CC-18": without_parts(c.journal, c.volume),
+        "CC-16": without_parts(c.volume, c.br),
+        "CC-17": without_parts(c.issue, c.br),
+        "CC-18": without_parts(c.journal, c.br),
         "CC-19": not_part_of(c.volume),
         "CC-20": not_part_of(c.issue),
         "CC-21": not_part_of(chapters),
-        "CC-22": uncited(c.book, c.cites),
+        "CC-22": uncited(books, c.cites),
         "CC-23": repeated_identifier_entities(c.ident),
         "CC-32": without_identifier(c.journal, c.ident),
-        "CC-33": without_identifier(c.book, c.ident),
+        "CC-33": without_identifier(books, c.ident),
     }
     out = None
     for name, rows in found.items():

@@ -1,8 +1,10 @@
 """The driver's tables seen as a citation graph, as typed entity DataFrames and as SQL.
 
 Regions are journals, nations their volumes, customers issues, orders articles,
-parts books that articles cite by line items, suppliers authors. Both sides
-build the same rows, so that every query over the entities can be compared.
+parts books that articles cite by line items, suppliers authors. Every fourth
+article cites another one, every third book has an author of its own, who may
+be one of those that cite it. Both sides build the same rows, so that every
+query over the entities can be compared.
 """
 
 from __future__ import annotations
@@ -68,8 +70,11 @@ class Corpus:
 
     @cached_property
     def cites(self) -> DataFrame:
-        t = self.table("lineitem").select("l_orderkey", "l_partkey").distinct()
-        return t.select(iri("br", "040", F.col("l_orderkey") + 1).alias("citing"), iri("br", "050", F.col("l_partkey") + 1).alias("cited"))
+        """Books by the articles of the lines that name them; every fourth article also cites the article of half its number."""
+        t, k = self.table("lineitem").select("l_orderkey", "l_partkey").distinct(), F.col("o_orderkey")
+        books = t.select(iri("br", "040", F.col("l_orderkey") + 1).alias("citing"), iri("br", "050", F.col("l_partkey") + 1).alias("cited"))
+        articles = self.table("orders").filter((k % 4 == 0) & (k > 0))
+        return books.unionByName(articles.select(iri("br", "040", k + 1).alias("citing"), iri("br", "040", F.floor(k / 2) + 1).alias("cited")))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -79,11 +84,14 @@ class Corpus:
 
     @cached_property
     def role(self) -> DataFrame:
-        """The chain of author roles of each article; one role for each line."""
+        """The chain of author roles of each article, one role for each line; and the one author of every third book, its least supplier."""
         number = (F.col("l_orderkey") + 1) * 1000 + F.col("pos")
         chain = Window.partitionBy("l_orderkey").orderBy("pos")
         r = self.lines.select("*", iri("ar", "060", number).alias("iri"))
-        return r.select("iri", F.lit("author").alias("role"), iri("br", "040", F.col("l_orderkey") + 1).alias("br"), iri("ra", "070", F.col("l_suppkey") + 1).alias("ra"), "pos", F.lead("iri").over(chain).alias("next"))
+        articles = r.select("iri", F.lit("author").alias("role"), iri("br", "040", F.col("l_orderkey") + 1).alias("br"), iri("ra", "070", F.col("l_suppkey") + 1).alias("ra"), "pos", F.lead("iri").over(chain).alias("next"))
+        k = F.col("l_partkey")
+        books = self.table("lineitem").filter(k % 3 == 0).groupBy("l_partkey").agg(F.min("l_suppkey").alias("s"))
+        return articles.unionByName(books.select(iri("ar", "0160", k + 1).alias("iri"), F.lit("author").alias("role"), iri("br", "050", k + 1).alias("br"), iri("ra", "070", F.col("s") + 1).alias("ra"), F.lit(1).alias("pos"), F.lit(None).cast("string").alias("next")))
 
     @cached_property
     def agent(self) -> DataFrame:
@@ -107,18 +115,22 @@ class Corpus:
 
     @cached_property
     def pointer(self) -> DataFrame:
-        """In-text pointers: iri, entry, article, book, and the list, sentence, paragraph and section they stand in; list is null for those outside of one."""
+        """In-text pointers: iri, entry, article, book, and the list, sentence, paragraph and section they stand in; list is null for those outside of one.
+
+        Two line numbers make a sentence, four a paragraph, six a section.
+        """
         o, n = F.col("l_orderkey") + 1, F.col("l_linenumber")
-        listed = F.when(F.col("l_returnflag") != "N", iri("pl", "0150", o * 100 + n * 2 + (F.col("l_linestatus") == "F").cast("int")))
+        sentence = F.floor((n + 1) / 2)
+        listed = F.when(F.col("l_returnflag") != "N", iri("pl", "0150", o * 100 + sentence * 2 + (F.col("l_linestatus") == "F").cast("int")))
         return self.lines.select(
             iri("rp", "090", o * 1000 + F.col("pos")).alias("iri"),
             iri("be", "0110", o * 1_000_000 + F.col("l_partkey")).alias("entry"),
             iri("br", "040", o).alias("article"),
             iri("br", "050", F.col("l_partkey") + 1).alias("book"),
             listed.alias("list"),
-            iri("de", "0120", o * 10 + n).alias("sentence"),
-            iri("de", "0130", o * 10 + F.floor((n + 1) / 2)).alias("paragraph"),
-            iri("de", "0140", o * 10 + F.floor((n + 3) / 4)).alias("section"),
+            iri("de", "0120", o * 10 + sentence).alias("sentence"),
+            iri("de", "0130", o * 10 + F.floor((n + 3) / 4)).alias("paragraph"),
+            iri("de", "0140", o * 10 + F.floor((n + 5) / 6)).alias("section"),
             "pos",
         )
 
@@ -136,6 +148,54 @@ class Corpus:
         )
 
 
+class Faulty(Corpus):
+    """The corpus with a fault planted for each consistency check; ``FAULTS`` is its SQL."""
+
+    @cached_property
+    def journal(self) -> DataFrame:
+        return Corpus(self.spark, self.sf_dir).journal
+
+    @cached_property
+    def volume(self) -> DataFrame:
+        """One number twice in a journal, volumes of no journal, and of one that is none."""
+        n = F.col("seq_id").try_cast("int")
+        v = Corpus(self.spark, self.sf_dir).volume
+        return v.withColumns({"seq_id": F.when(n == 7, F.lit("2")).otherwise(F.col("seq_id")), "part_of": F.when(n % 5 == 4, F.lit(None)).when(n == 6, F.lit(f"{BASE}br/020999")).otherwise(F.col("part_of"))})
+
+    @cached_property
+    def issue(self) -> DataFrame:
+        """Numbers that two issues share, issues of no volume, and a volume that has none."""
+        n = F.col("seq_id").try_cast("int")
+        i = Corpus(self.spark, self.sf_dir).issue
+        return i.withColumns({"seq_id": F.floor(n / 40).cast("string"), "part_of": F.when((n % 100 == 77) | (F.col("part_of") == f"{BASE}br/0206"), F.lit(None)).otherwise(F.col("part_of"))})
+
+    @cached_property
+    def article(self) -> DataFrame:
+        """None in the issues whose number ends in 8."""
+        a = Corpus(self.spark, self.sf_dir).article
+        return a.withColumn("part_of", F.when(F.col("part_of").endswith("8"), F.lit(None)).otherwise(F.col("part_of")))
+
+    @cached_property
+    def book(self) -> DataFrame:
+        """Every fifth is a chapter, of another book, of a journal, or of nothing."""
+        n = F.regexp_extract("iri", "/050([0-9]+)$", 1).try_cast("int")
+        b = Corpus(self.spark, self.sf_dir).book
+        whole = F.when(n % 15 == 0, F.lit(None)).when(n % 20 == 0, F.lit(f"{BASE}br/0102")).otherwise(F.concat(F.lit(f"{BASE}br/050"), (n + 1).cast("string")))
+        return b.withColumns({"type": F.when(n % 5 == 0, "BookChapter").otherwise("Book"), "part_of": F.when(n % 5 == 0, whole)})
+
+    @cached_property
+    def cites(self) -> DataFrame:
+        """Nothing cites the books whose number ends in 7."""
+        return Corpus(self.spark, self.sf_dir).cites.filter(~F.col("cited").rlike("/050[0-9]*7$"))
+
+    @cached_property
+    def ident(self) -> DataFrame:
+        """Literals of two entities and owners, and works that have none."""
+        i = Corpus(self.spark, self.sf_dir).ident
+        again = i.filter("right(iri, 2) = '07' OR right(iri, 5) = '08202'").select(F.concat("iri", F.lit("9")).alias("iri"), F.concat("owner", F.lit("9")).alias("owner"), "scheme", "literal")
+        return i.filter("right(owner, 1) <> '3'").unionByName(again)
+
+
 def type_iri(c: Column) -> Column:
     return F.concat(F.lit(FABIO), c)
 
@@ -150,17 +210,31 @@ article AS (SELECT '{BASE}br/040' || (o_orderkey + 1) AS iri, 'JournalArticle' A
 book AS (SELECT '{BASE}br/050' || (p_partkey + 1) AS iri, 'Book' AS type, p_name AS title, p_type AS subtitle, NULL::VARCHAR AS pub_date, NULL::VARCHAR AS seq_id, NULL::VARCHAR AS part_of FROM part),
 br AS (SELECT * FROM journal UNION ALL SELECT * FROM volume UNION ALL SELECT * FROM issue UNION ALL SELECT * FROM article UNION ALL SELECT * FROM book),
 embodiment AS (SELECT '{BASE}br/040' || (o_orderkey + 1) AS br, (o_orderkey % 900 + 1)::VARCHAR AS start, (o_orderkey % 900 + 9)::VARCHAR AS "end" FROM orders WHERE o_orderkey % 2 = 0),
-cites AS (SELECT DISTINCT '{BASE}br/040' || (l_orderkey + 1) AS citing, '{BASE}br/050' || (l_partkey + 1) AS cited FROM lineitem),
+cites AS (SELECT DISTINCT '{BASE}br/040' || (l_orderkey + 1) AS citing, '{BASE}br/050' || (l_partkey + 1) AS cited FROM lineitem
+  UNION ALL SELECT '{BASE}br/040' || (o_orderkey + 1), '{BASE}br/040' || (o_orderkey // 2 + 1) FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey > 0),
 lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)::INT AS pos FROM lineitem),
 role AS (SELECT '{BASE}ar/060' || ((l_orderkey + 1) * 1000 + pos) AS iri, 'author' AS role, '{BASE}br/040' || (l_orderkey + 1) AS br, '{BASE}ra/070' || (l_suppkey + 1) AS ra, pos,
-  lead('{BASE}ar/060' || ((l_orderkey + 1) * 1000 + pos)) OVER (PARTITION BY l_orderkey ORDER BY pos) AS next FROM lines),
+  lead('{BASE}ar/060' || ((l_orderkey + 1) * 1000 + pos)) OVER (PARTITION BY l_orderkey ORDER BY pos) AS next FROM lines
+  UNION ALL SELECT '{BASE}ar/0160' || (l_partkey + 1), 'author', '{BASE}br/050' || (l_partkey + 1), '{BASE}ra/070' || (min(l_suppkey) + 1), 1, NULL FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY l_partkey),
 agent AS (SELECT '{BASE}ra/070' || (s_suppkey + 1) AS iri, 'A' || s_nationkey AS given, s_name AS family FROM supplier),
 ident AS (SELECT '{BASE}id/0810' || (o_orderkey + 1) AS iri, '{BASE}br/040' || (o_orderkey + 1) AS owner, 'doi' AS scheme, '10.1234/' || o_orderkey AS literal FROM orders
   UNION ALL SELECT '{BASE}id/0820' || (r_regionkey + 1), '{BASE}br/010' || (r_regionkey + 1), 'issn', r_name FROM region
   UNION ALL SELECT '{BASE}id/0830' || (p_partkey + 1), '{BASE}br/050' || (p_partkey + 1), 'isbn', '978-' || p_partkey FROM part
   UNION ALL SELECT '{BASE}id/0840' || (s_suppkey + 1), '{BASE}ra/070' || (s_suppkey + 1), 'orcid', '0000-' || s_suppkey FROM supplier),
 pointer AS (SELECT '{BASE}rp/090' || ((l_orderkey + 1) * 1000 + pos) AS iri, '{BASE}be/0110' || ((l_orderkey + 1) * 1000000 + l_partkey) AS entry, '{BASE}br/040' || (l_orderkey + 1) AS article, '{BASE}br/050' || (l_partkey + 1) AS book,
-  CASE WHEN l_returnflag <> 'N' THEN '{BASE}pl/0150' || ((l_orderkey + 1) * 100 + l_linenumber * 2 + (l_linestatus = 'F')::INT) END AS list,
-  '{BASE}de/0120' || ((l_orderkey + 1) * 10 + l_linenumber) AS sentence, '{BASE}de/0130' || ((l_orderkey + 1) * 10 + (l_linenumber + 1) // 2) AS paragraph, '{BASE}de/0140' || ((l_orderkey + 1) * 10 + (l_linenumber + 3) // 4) AS section, pos FROM lines),
+  CASE WHEN l_returnflag <> 'N' THEN '{BASE}pl/0150' || ((l_orderkey + 1) * 100 + (l_linenumber + 1) // 2 * 2 + (l_linestatus = 'F')::INT) END AS list,
+  '{BASE}de/0120' || ((l_orderkey + 1) * 10 + (l_linenumber + 1) // 2) AS sentence, '{BASE}de/0130' || ((l_orderkey + 1) * 10 + (l_linenumber + 3) // 4) AS paragraph, '{BASE}de/0140' || ((l_orderkey + 1) * 10 + (l_linenumber + 5) // 6) AS section, pos FROM lines),
 discourse AS (SELECT DISTINCT * FROM (SELECT section AS iri, 'Section' AS class, article AS parent, 'Section ' || right(section, 1) AS title FROM pointer UNION ALL SELECT paragraph, 'Paragraph', section, NULL FROM pointer UNION ALL SELECT sentence, 'Sentence', paragraph, NULL FROM pointer))
 """
+
+#: The same faults; the names of the entities are theirs with a 2.
+FAULTS = PREFIX + f""",
+journal2 AS (SELECT * FROM journal),
+volume2 AS (SELECT iri, type, title, subtitle, pub_date, CASE WHEN seq_id = '7' THEN '2' ELSE seq_id END AS seq_id, CASE WHEN CAST(seq_id AS INT) % 5 = 4 THEN NULL WHEN seq_id = '6' THEN '{BASE}br/020999' ELSE part_of END AS part_of FROM volume),
+issue2 AS (SELECT iri, type, title, subtitle, pub_date, '' || (CAST(seq_id AS INT) // 40) AS seq_id, CASE WHEN CAST(seq_id AS INT) % 100 = 77 OR part_of = '{BASE}br/0206' THEN NULL ELSE part_of END AS part_of FROM issue),
+article2 AS (SELECT iri, type, title, subtitle, pub_date, seq_id, CASE WHEN right(part_of, 1) = '8' THEN NULL ELSE part_of END AS part_of FROM article),
+book2 AS (SELECT iri, CASE WHEN n % 5 = 0 THEN 'BookChapter' ELSE 'Book' END AS type, title, subtitle, pub_date, seq_id, CASE WHEN n % 5 <> 0 OR n % 15 = 0 THEN NULL WHEN n % 20 = 0 THEN '{BASE}br/0102' ELSE '{BASE}br/050' || (n + 1) END AS part_of FROM (SELECT *, CAST(regexp_extract(iri, '/050([0-9]+)$', 1) AS INT) AS n FROM book)),
+br2 AS (SELECT * FROM journal2 UNION ALL SELECT * FROM volume2 UNION ALL SELECT * FROM issue2 UNION ALL SELECT * FROM article2 UNION ALL SELECT * FROM book2),
+cites2 AS (SELECT * FROM cites WHERE NOT regexp_matches(cited, '/050[0-9]*7$')),
+ident2 AS (SELECT * FROM ident WHERE right(owner, 1) <> '3' UNION ALL SELECT iri || '9', owner || '9', scheme, literal FROM ident WHERE right(iri, 2) = '07' OR right(iri, 5) = '08202')
+"""

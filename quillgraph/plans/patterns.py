@@ -192,7 +192,7 @@ def distinct_first_doi(c):
     return al.first_by(c.cites, ["cited"], F.col("citing")).select(F.col("cited").alias("doi_owner"), F.col("citing").alias("first"))
 
 
-@query("SELECT substr(a.pub_date, 1, 4) AS year, (b.iri IS NOT NULL) AS own, count(*) AS n FROM cites JOIN article a ON a.iri = citing LEFT JOIN (SELECT DISTINCT r.br AS iri, r.ra FROM role r) b ON b.iri = cited GROUP BY ALL")
+@query("SELECT substr(a.pub_date, 1, 4) AS year, (b.iri IS NOT NULL) AS own, count(*) AS n FROM cites JOIN article a ON a.iri = citing LEFT JOIN (SELECT DISTINCT br AS iri FROM role) b ON b.iri = cited GROUP BY ALL")
 def cites_per_year(c):
     """[AG-07] By year and by whether the cited work has authors of its own in the corpus."""
     known = c.role.select(F.col("br").alias("cited")).distinct().withColumn("own", F.lit(True))

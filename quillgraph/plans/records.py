@@ -24,55 +24,61 @@ def query(sql: str | None = None, corpus: bool = True):
 
 
 def records(c):
-    """Parts as catalogue records: every third with a container, every seventh without a DOI, some twice."""
+    """Parts as catalogue records: every third in a container, every seventh without a DOI; some come twice, once fuller."""
     k = F.col("p_partkey")
     s = k.cast("string")
     t = c.table("part")
     fields = {
-        "DOI": F.when(k % 7 != 0, F.concat(F.lit("10.7/P"), s)), "type": F.when(k % 3 == 0, "journal-article").when(k % 3 == 1, "edited-book").otherwise("book"), "title": F.array(F.concat(F.lit(" "), F.col("p_name")), F.lit("")),
+        "DOI": F.when(k % 7 != 0, F.concat(F.lit("10.7/P"), s)), "type": F.when(k % 3 == 0, "journal-article").when(k % 3 == 1, "edited-book").otherwise("book"), "title": F.array(F.concat(F.lit(" "), F.col("p_name"), F.lit(" "), s), F.lit("")),
         "subtitle": F.array().cast("array<string>"), "author": F.array(F.struct(F.lit("A").alias("given"), F.col("p_brand").alias("family")), F.struct(F.lit("B").alias("given"), F.col("p_type").alias("family"))),
         "publisher": F.when(k % 5 != 0, F.col("p_brand")), "member": F.when(k % 2 == 0, (k % 10).cast("string")), "issued": F.struct(F.array(F.array((1990 + k % 30).cast("int"), (1 + k % 12).cast("int"))).alias("date-parts")),
         "page": F.when(k % 4 == 0, F.concat_ws("-", k, k + 9)), "volume": F.lit("1"), "issue": F.lit(None).cast("string"), "container-title": F.when(k % 3 == 0, F.array(F.col("p_type"))).otherwise(F.array().cast("array<string>")),
         "ISSN": F.when(k % 3 == 0, F.array(F.concat(F.lit("1000-"), F.lpad((k % 50).cast("string"), 4, "0")), F.lit("0000-0000"))), "ISBN": F.when(k % 3 != 0, F.array(F.concat(F.lit("978-"), s))), "URL": F.lit(None).cast("string"), "score": F.lit(1.0),
     }
-    rows = t.select(*[v.alias(n) for n, v in fields.items()])
-    again = t.filter(k % 14 == 1).select(*[v.alias(n) for n, v in fields.items()])
-    return c.spark.createDataFrame([], WORK).unionByName(rows.unionByName(again))
+    made = lambda of, **other: of.select(*[v.alias(n) for n, v in (fields | other).items()])
+    bare = made(t.filter(k % 14 == 1), issued=F.lit(None).cast("struct<`date-parts`: array<array<int>>>"), page=F.lit(None).cast("string"))
+    fuller = made(t.filter((k % 7 == 0) & (k % 3 == 1)), subtitle=F.array(F.lit("second edition")))
+    return c.spark.createDataFrame([], WORK).unionByName(made(t)).unionByName(bare).unionByName(fuller).unionByName(made(t.filter(k % 21 == 0)))
 
 
-KEY = "CASE WHEN p_partkey % 7 <> 0 THEN 'doi|10.7/p' || p_partkey WHEN p_partkey % 3 <> 0 THEN 'isbn|978-' || p_partkey ELSE 'issn|1000-' || lpad((p_partkey % 50)::VARCHAR, 4, '0') END"
-CLASS = "CASE p_partkey % 3 WHEN 0 THEN 'JournalArticle' ELSE 'Book' END"
+#: Written from the rules: the DOI; the ISBN of works without a container; else the content, whose hash is not shown.
+KEY = "CASE WHEN k % 7 <> 0 THEN 'doi|10.7/p' || k WHEN k % 3 <> 0 THEN 'isbn|978-' || k ELSE 'text' END"
+CLASS = "CASE k % 3 WHEN 0 THEN 'JournalArticle' ELSE 'Book' END"
+PARTS = "(SELECT p_partkey AS k, p_name, p_type, p_brand FROM part)"
 
 
-@query(f"SELECT DISTINCT key FROM (SELECT {KEY} AS key FROM part)", corpus=False)
+def shown(name):
+    """A key without the hash of a content."""
+    return F.regexp_replace(name, r"^text\|[0-9a-f]{32}", "text").alias(name)
+
+
+@query(f"SELECT {KEY} AS key, p_name || ' ' || k AS title FROM {PARTS}", corpus=False)
 def record_keys(c):
-    """[RS-34]"""
-    return rc.works(records(c)).select("key")
+    """[RS-34] One work for each part: those of one container stay apart, those that come twice are one."""
+    return rc.works(records(c)).select(shown("key"), "title")
 
 
-@query(f"SELECT {KEY} AS key, p_name AS title, (1990 + p_partkey % 30) || '-' || lpad((1 + p_partkey % 12)::VARCHAR, 2, '0') AS pub_date, {CLASS} AS class, CASE WHEN p_partkey % 4 = 0 THEN '' || p_partkey END AS start, CASE WHEN p_partkey % 4 = 0 THEN '' || (p_partkey + 9) END AS \"end\" FROM part WHERE p_partkey % 7 <> 0", corpus=False)
+@query(f"SELECT {KEY} AS key, p_name || ' ' || k AS title, CASE WHEN k % 7 = 0 AND k % 3 = 1 THEN 'second edition' END AS subtitle, (1990 + k % 30) || '-' || lpad((1 + k % 12)::VARCHAR, 2, '0') AS pub_date, {CLASS} AS class, CASE WHEN k % 4 = 0 THEN '' || k END AS start, CASE WHEN k % 4 = 0 THEN '' || (k + 9) END AS \"end\", CASE WHEN k % 3 = 0 THEN p_type END AS container FROM {PARTS}", corpus=False)
 def record_works(c):
-    """[RS-23, RS-28, RS-29, RS-32, RS-33]"""
-    return rc.works(records(c)).filter("key LIKE 'doi|%'").select("key", "title", "pub_date", "class", "start", "end")
+    """[RS-23, RS-28, RS-29, RS-32, RS-33] Of records with one key the fullest counts."""
+    return rc.works(records(c)).select(shown("key"), "title", "subtitle", "pub_date", "class", "start", "end", "container")
 
 
-@query(f"""SELECT DISTINCT owner, scheme, literal FROM (SELECT {KEY} AS owner, 'doi' AS scheme, '10.7/p' || p_partkey AS literal FROM part WHERE p_partkey % 7 <> 0
-UNION ALL SELECT 'container|' || lower(p_type), 'issn', '1000-' || lpad((p_partkey % 50)::VARCHAR, 4, '0') FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 7 <> 0 UNION ALL SELECT {KEY}, 'isbn', '978-' || p_partkey FROM part WHERE p_partkey % 3 <> 0)""", corpus=False)
+@query(f"""SELECT DISTINCT owner, scheme, literal FROM (SELECT {KEY} AS owner, 'doi' AS scheme, '10.7/p' || k AS literal FROM {PARTS} WHERE k % 7 <> 0
+UNION ALL SELECT 'container|' || lower(p_type), 'issn', '1000-' || lpad((k % 50)::VARCHAR, 4, '0') FROM {PARTS} WHERE k % 3 = 0 UNION ALL SELECT {KEY}, 'isbn', '978-' || k FROM {PARTS} WHERE k % 3 <> 0)""", corpus=False)
 def record_identifiers(c):
     """[RS-20, RS-21, RS-22]"""
-    found = rc.works(records(c).filter("DOI IS NOT NULL OR ISBN IS NOT NULL"))
-    return rc.identifiers(found)
+    return rc.identifiers(rc.works(records(c)))
 
 
-@query(f"""SELECT work, pos, role, agent FROM (SELECT {KEY} AS work, 0 AS pos, CASE WHEN p_partkey % 3 = 1 THEN 'editor' ELSE 'author' END AS role, CASE WHEN p_partkey % 6 = 1 THEN 'orcid|0-' || (p_partkey % 20) ELSE {KEY} || '#0' END AS agent FROM part WHERE p_partkey % 7 <> 0
-UNION ALL SELECT {KEY}, 1, CASE WHEN p_partkey % 3 = 1 THEN 'editor' ELSE 'author' END, {KEY} || '#1' FROM part WHERE p_partkey % 7 <> 0
-UNION ALL SELECT {KEY}, -1, 'publisher', CASE WHEN p_partkey % 2 = 0 THEN 'crossref|' || (p_partkey % 10) ELSE 'name|' || lower(p_brand) END FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 5 <> 0)""", corpus=False)
+@query(f"""SELECT work, pos, role, agent FROM (SELECT {KEY} AS work, 0 AS pos, CASE WHEN k % 3 = 1 THEN 'editor' ELSE 'author' END AS role, CASE WHEN k % 6 = 1 AND k % 7 <> 0 THEN 'orcid|0-' || (k % 20) ELSE {KEY} || '#0' END AS agent FROM {PARTS}
+UNION ALL SELECT {KEY}, 1, CASE WHEN k % 3 = 1 THEN 'editor' ELSE 'author' END, {KEY} || '#1' FROM {PARTS}
+UNION ALL SELECT {KEY}, -1, 'publisher', CASE WHEN k % 2 = 0 THEN 'crossref|' || (k % 10) ELSE 'name|' || lower(p_brand) END FROM {PARTS} WHERE k % 5 <> 0)""", corpus=False)
 def record_roles(c):
     """[RS-25, RS-26, RS-27]"""
-    found = rc.works(records(c).filter("DOI IS NOT NULL"))
     k = F.col("p_partkey")
     matched = c.table("part").filter("p_partkey % 6 = 1").select(F.concat(F.lit("doi|10.7/p"), k.cast("string")).alias("br"), F.lit(0).alias("pos"), F.concat(F.lit("0-"), (k % 20).cast("string")).alias("orcid"))
-    return rc.contributors(found, matched)[1]
+    return rc.contributors(rc.works(records(c)), matched)[1].select(shown("work"), "pos", "role", shown("agent"))
 
 
 def documents(c):

@@ -9,7 +9,7 @@ from quillgraph.functions import matching as mt
 from quillgraph.operators import checks as ck
 from quillgraph.operators import evaluate as ev
 from quillgraph.plans import rest, search
-from quillgraph.plans.corpus import PREFIX, Corpus
+from quillgraph.plans.corpus import FAULTS, PREFIX, Corpus, Faulty
 from quillgraph.schema import BASE
 
 QUERIES, SQL = {}, {}
@@ -67,19 +67,19 @@ def cat_document(c):
     return search.document(c, c.br.filter("type IN ('JournalArticle', 'Book')"))
 
 
-@query(f"""SELECT iri, title, doi, year, journal, author, tot, cited, mentions, pointers FROM ({DOCUMENT}) JOIN (SELECT c.citing, c.cited, count(DISTINCT p.iri) AS mentions, string_agg(DISTINCT p.iri, ';' ORDER BY p.iri) AS pointers FROM cites c JOIN pointer p ON p.article = c.citing AND p.book = c.cited GROUP BY ALL) ON citing = iri WHERE cited = '{BASE}br/0507'""")
+@query(f"""SELECT iri, title, doi, year, journal, author, tot, cited, mentions, pointers FROM ({DOCUMENT}) JOIN (SELECT c.citing, c.cited, count(DISTINCT p.iri) AS mentions, coalesce(string_agg(DISTINCT p.iri, ';' ORDER BY p.iri), '') AS pointers FROM cites c LEFT JOIN pointer p ON p.article = c.citing AND p.book = c.cited GROUP BY ALL) ON citing = iri""")
 def cat_document_intext(c):
-    """[CQ-4, SR-13]"""
-    return search.search(c, "doc_cites_me_intext", f"{BASE}br/0507", "document_intext")
+    """[CQ-4, SR-13] Over all citations; those of articles have no pointers."""
+    return search.document_intext(c, c.cites.select(F.col("citing").alias("iri"), "cited"))
 
 
-@query(f"""SELECT x.iri AS iri, replace(x.iri, '{BASE}', '') AS short_iri, replace(x.iri, '{BASE}ra/', '') AS short_iri_id, d.literal AS orcid, given || ' ' || family AS author, (SELECT count(*) FROM role r LEFT JOIN cites c ON c.cited = r.br WHERE r.ra = x.iri) AS num_docs, 0::BIGINT AS citations FROM agent x JOIN ident d ON d.owner = x.iri""")
+@query(f"""SELECT x.iri AS iri, replace(x.iri, '{BASE}', '') AS short_iri, replace(x.iri, '{BASE}ra/', '') AS short_iri_id, d.literal AS orcid, given || ' ' || family AS author, (SELECT count(*) FROM role r LEFT JOIN cites c ON c.cited = r.br WHERE r.ra = x.iri) AS num_docs, (SELECT count(c.citing) FROM role r JOIN cites c ON c.cited = r.br WHERE r.ra = x.iri) AS citations FROM agent x JOIN ident d ON d.owner = x.iri""")
 def cat_author(c):
     """[CQ-6]"""
     return search.author(c, c.agent)
 
 
-@query(f"""SELECT x.iri AS iri, replace(x.iri, '{BASE}', '') AS short_iri, replace(x.iri, '{BASE}ra/', '') AS short_iri_id, d.literal AS orcid, given || ' ' || family AS author, (SELECT count(DISTINCT br) FROM role r WHERE r.ra = x.iri) AS num_docs, 0::BIGINT AS citations FROM agent x JOIN ident d ON d.owner = x.iri""")
+@query(f"""SELECT x.iri AS iri, replace(x.iri, '{BASE}', '') AS short_iri, replace(x.iri, '{BASE}ra/', '') AS short_iri_id, d.literal AS orcid, given || ' ' || family AS author, (SELECT count(DISTINCT br) FROM role r WHERE r.ra = x.iri) AS num_docs, (SELECT count(DISTINCT r.br || ' ' || c.citing) FROM role r JOIN cites c ON c.cited = r.br WHERE r.ra = x.iri) AS citations FROM agent x JOIN ident d ON d.owner = x.iri""")
 def cat_author_distinct(c):
     """[CQ-6, Q-25]"""
     return search.author(c, c.agent, distinct=True)
@@ -104,7 +104,7 @@ RULE_CASES = {
     "articles_in_issue_list": (f"{BASE}br/03011", f"SELECT iri FROM article WHERE part_of = '{BASE}br/03011'"),
     "intext_refs_list": (f"{BASE}de/014081", f"SELECT iri FROM pointer WHERE '{BASE}de/014081' IN (section, paragraph, sentence)"),
     "intext_refs_for_citation": (None, None),
-    "intext_refs_list_in_pl": (f"{BASE}pl/0150805", f"SELECT iri FROM pointer WHERE list = '{BASE}pl/0150805'"),
+    "intext_refs_list_in_pl": (f"{BASE}pl/0150802", f"SELECT iri FROM pointer WHERE list = '{BASE}pl/0150802'"),
     "intext_refs_list_for_be": (None, None),
     "cocited_list": (f"{BASE}rp/0908002", f"SELECT b.iri FROM pointer a JOIN pointer b ON a.sentence = b.sentence WHERE a.iri = '{BASE}rp/0908002' AND b.iri <> a.iri"),
     "br_resource": ("br/0508", f"SELECT iri FROM br WHERE iri = '{BASE}br/0508'"),
@@ -206,9 +206,9 @@ def rest_csv(c):
     return rest.rendered(rest.filtered(works_table(c), "roles", "=9").select("doi", "year"), "format=csv")
 
 
-@query(WORKS + f"""SELECT w.doi, w.author, w.year, w.title, j.title AS source_title, v.seq_id AS volume, i.seq_id AS issue, coalesce(e.start || '-' || e."end", '') AS page, coalesce(r.reference, '') AS reference, 0::BIGINT AS citation_count
+@query(WORKS + f"""SELECT w.doi, w.author, w.year, w.title, j.title AS source_title, v.seq_id AS volume, i.seq_id AS issue, coalesce(e.start || '-' || e."end", '') AS page, coalesce(r.reference, '') AS reference, (SELECT count(*) FROM cites WHERE cited = a.iri) AS citation_count
 FROM works w JOIN ident d ON d.literal = w.doi AND d.scheme = 'doi' JOIN article a ON a.iri = d.owner JOIN issue i ON i.iri = a.part_of JOIN volume v ON v.iri = i.part_of JOIN journal j ON j.iri = v.part_of LEFT JOIN embodiment e ON e.br = a.iri
-LEFT JOIN (SELECT citing, string_agg(x.literal, '; ' ORDER BY x.literal) AS reference FROM cites JOIN ident x ON x.owner = cited GROUP BY citing) r ON r.citing = a.iri WHERE w.doi IN ('10.1234/7', '10.1234/33')""")
+LEFT JOIN (SELECT citing, string_agg(x.literal, '; ' ORDER BY x.literal) AS reference FROM cites JOIN ident x ON x.owner = cited GROUP BY citing) r ON r.citing = a.iri WHERE w.doi IN ('10.1234/7', '10.1234/34')""")
 def rest_metadata(c):
     """[RO-02, RO-03, RO-13]"""
 
@@ -224,13 +224,13 @@ def rest_metadata(c):
         return rows.select("doi", "author", "year", "title", "source_title", "volume", "issue", F.coalesce("page", F.lit("")).alias("page"), F.coalesce("reference", F.lit("")).alias("reference"), F.coalesce("citation_count", F.lit(0)).alias("citation_count")).limit(1000)
 
     operation = rest.Operation(build, pattern=r"10\..+?(__10\..+?)*", preprocess="lower(dois) --> split_dois(dois)", types={"citation_count": "int"}, postprocess=[lambda d: rest.distinct_by(d, "doi", "title")])
-    return operation("10.1234/7__10.1234/33")
+    return operation("10.1234/7__10.1234/34")
 
 
-@query("SELECT substr(a.pub_date, 1, 4) AS creation, d.literal AS citing_doi, FALSE AS author_sc FROM cites c JOIN article a ON a.iri = c.citing JOIN ident d ON d.owner = a.iri WHERE c.cited = 'B/br/0508'".replace("B/", BASE))
+@query("SELECT substr(a.pub_date, 1, 4) AS creation, d.literal AS citing_doi, EXISTS (SELECT 1 FROM role x JOIN role y ON y.ra = x.ra WHERE x.br = c.citing AND y.br = c.cited) AS author_sc FROM cites c JOIN article a ON a.iri = c.citing JOIN ident d ON d.owner = a.iri WHERE c.cited = 'B/br/05010'".replace("B/", BASE))
 def rest_citations(c):
     """[RO-14] Self-citation: an agent has a role in both works."""
-    cited = f"{BASE}br/0508"
+    cited = f"{BASE}br/05010"
     own = c.role.filter(F.col("br") == cited).select("ra").distinct()
     shared = c.role.join(own, "ra", "left_semi").select(F.col("br").alias("citing")).distinct().withColumn("sc", F.lit(True))
     rows = c.cites.filter(F.col("cited") == cited).join(shared, "citing", "left").join(c.article.select(F.col("iri").alias("citing"), "pub_date"), "citing").join(c.ident.select(F.col("owner").alias("citing"), F.col("literal").alias("citing_doi")), "citing")
@@ -243,66 +243,83 @@ def pointers_per_entry(c):
     return c.pointer.groupBy("entry").agg(F.count("*").alias("pointers"), F.countDistinct("sentence").alias("sentences"), F.array_join(F.array_sort(F.collect_set("section")), " ").alias("sections"))
 
 
-# --- consistency checks, on a graph with planted faults ------------------------------------------
+# --- consistency checks, on the corpus with planted faults ---------------------------------------
 
 
-def faulty(c):
-    """Some identifiers claim a second owner, some volumes repeat a number, some parts lose their whole."""
-    extra = c.ident.filter("right(iri, 2) = '07'").select(F.concat("iri", F.lit("9")).alias("iri"), F.concat("owner", F.lit("9")).alias("owner"), "scheme", "literal")
-    ident = c.ident.unionByName(extra)
-    volume = c.volume.withColumn("seq_id", F.when(F.col("seq_id") == "7", F.lit("2")).otherwise(F.col("seq_id")))
-    issue = c.issue.withColumn("part_of", F.when(F.col("seq_id").endswith("77"), F.lit(None)).otherwise(F.col("part_of")))
-    return ident, volume, issue
+def faulty(sql: str):
+    """Registers a query over the corpus with planted faults."""
 
+    def put(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Faulty(spark, sf_dir))
+        SQL[f.__name__] = FAULTS + sql
+        return f
+
+    return put
 
-IDENT2 = ", ident2 AS (SELECT * FROM ident UNION ALL SELECT iri || '9', owner || '9', scheme, literal FROM ident WHERE right(iri, 2) = '07') "
 
+SHARED = "SELECT scheme, literal, count(DISTINCT owner) AS owners FROM ident2 GROUP BY scheme, literal HAVING count(DISTINCT owner) > 1"
+REPEATED = "SELECT scheme, literal, count(DISTINCT iri) AS entities FROM ident2 GROUP BY scheme, literal HAVING count(DISTINCT iri) > 1"
+NUMBERS = "SELECT part_of AS whole, seq_id AS number, count(*) AS n FROM {} WHERE part_of IS NOT NULL GROUP BY ALL HAVING count(*) > 1"
+NO_PARTS = "SELECT iri, type FROM {} x WHERE NOT EXISTS (SELECT 1 FROM br2 WHERE part_of = x.iri)"
+NO_WHOLE = "SELECT iri, type FROM {} x WHERE NOT EXISTS (SELECT 1 FROM {} y WHERE y.iri = x.part_of)"
+NO_ID = "SELECT iri, type FROM {} x WHERE NOT EXISTS (SELECT 1 FROM ident2 WHERE owner = x.iri)"
+UNCITED = "SELECT iri, type FROM book2 x WHERE NOT EXISTS (SELECT 1 FROM cites2 WHERE cited = x.iri)"
+CHAPTERS = "(SELECT * FROM book2 WHERE type = 'BookChapter')"
 
-@query(IDENT2 + "SELECT scheme, literal, count(DISTINCT owner) AS owners FROM ident2 GROUP BY scheme, literal HAVING count(DISTINCT owner) > 1")
+
+@faulty(SHARED)
 def check_duplicate_ids(c):
     """[CC-01, CC-04..13]"""
-    return ck.shared_identifiers(faulty(c)[0])
+    return ck.shared_identifiers(c.ident)
 
 
-@query(IDENT2 + "SELECT scheme, literal, count(DISTINCT iri) AS entities FROM ident2 GROUP BY scheme, literal HAVING count(DISTINCT iri) > 1")
+@faulty(REPEATED)
 def check_duplicate_id_entities(c):
     """[CC-23..31]"""
-    return ck.repeated_identifier_entities(faulty(c)[0])
+    return ck.repeated_identifier_entities(c.ident)
 
 
-@query(", v AS (SELECT iri, part_of, CASE WHEN seq_id = '7' THEN '2' ELSE seq_id END AS seq_id FROM volume) SELECT a.part_of AS whole, a.seq_id AS number, count(*) AS n FROM v a GROUP BY ALL HAVING count(*) > 1")
+@faulty(NUMBERS.format("(SELECT * FROM volume2 UNION ALL SELECT * FROM issue2)"))
 def check_volume_dup(c):
     """[CC-02, CC-03]"""
-    return ck.repeated_numbers(faulty(c)[1])
+    return ck.repeated_numbers(c.volume.unionByName(c.issue))
 
 
-@query(", i AS (SELECT iri, type, CASE WHEN NOT seq_id LIKE '%77' THEN part_of END AS part_of FROM issue) SELECT iri, type FROM i WHERE part_of IS NULL OR part_of NOT IN (SELECT iri FROM volume)")
+@faulty(NO_WHOLE.format(CHAPTERS, "(SELECT * FROM book2 WHERE type = 'Book')") + " UNION ALL " + NO_WHOLE.format("volume2", "journal2") + " UNION ALL " + NO_WHOLE.format("issue2", "volume2"))
 def check_part_of(c):
     """[CC-14, CC-15, CC-19..21]"""
-    return ck.not_part_of(faulty(c)[2], c.volume)
+    chapters = ck.not_part_of(c.book.filter("type = 'BookChapter'"), c.book.filter("type = 'Book'"))
+    return chapters.unionByName(ck.not_part_of(c.volume, c.journal)).unionByName(ck.not_part_of(c.issue, c.volume))
 
 
-@query("SELECT iri, type FROM (SELECT iri, type FROM journal UNION ALL SELECT iri, type FROM volume UNION ALL SELECT iri, type FROM issue) x WHERE NOT EXISTS (SELECT 1 FROM br WHERE part_of = x.iri)")
+@faulty(NO_PARTS.format("(SELECT * FROM journal2 UNION ALL SELECT * FROM volume2 UNION ALL SELECT * FROM issue2)"))
 def check_has_parts(c):
     """[CC-16..18]"""
     return ck.without_parts(c.journal.unionByName(c.volume).unionByName(c.issue), c.br)
 
 
-@query("SELECT iri, type FROM br WHERE type IN ('Journal', 'Book', 'JournalIssue') AND iri NOT IN (SELECT owner FROM ident)")
+@faulty(NO_ID.format("(SELECT * FROM br2 WHERE type IN ('Journal', 'Book', 'JournalIssue'))"))
 def check_has_identifier(c):
     """[CC-32, CC-33]"""
     return ck.without_identifier(c.br.filter("type IN ('Journal', 'Book', 'JournalIssue')"), c.ident)
 
 
-@query("SELECT iri, type FROM book WHERE iri NOT IN (SELECT cited FROM cites WHERE right(citing, 1) = '3')")
+@faulty(UNCITED)
 def check_book_cited(c):
     """[CC-22]"""
-    return ck.uncited(c.book, c.cites.filter("right(citing, 1) = '3'"))
+    return ck.uncited(c.book, c.cites)
+
+
+CHECKS = {
+    "CC-01": SHARED.replace("GROUP BY", "WHERE scheme = 'issn' GROUP BY"), "CC-02": NUMBERS.format("volume2"), "CC-03": NUMBERS.format("issue2"), "CC-13": SHARED, "CC-14": NO_WHOLE.format(CHAPTERS, "(SELECT * FROM book2 WHERE type = 'Book')"), "CC-15": NO_WHOLE.format("volume2", "journal2"),
+    "CC-16": NO_PARTS.format("volume2"), "CC-17": NO_PARTS.format("issue2"), "CC-18": NO_PARTS.format("journal2"), "CC-19": "SELECT 1 FROM volume2 WHERE part_of IS NULL", "CC-20": "SELECT 1 FROM issue2 WHERE part_of IS NULL", "CC-21": f"SELECT 1 FROM {CHAPTERS} WHERE part_of IS NULL",
+    "CC-22": UNCITED.replace("FROM book2 x", "FROM (SELECT * FROM book2 WHERE type = 'Book') x"), "CC-23": REPEATED, "CC-32": NO_ID.format("journal2"), "CC-33": NO_ID.format("(SELECT * FROM book2 WHERE type = 'Book')"),
+}
 
 
-@query("SELECT check_id, n FROM (VALUES ('CC-01', 0), ('CC-02', 0), ('CC-03', 0), ('CC-13', 0), ('CC-14', 0), ('CC-15', 0), ('CC-16', (SELECT count(*) FROM volume v WHERE NOT EXISTS (SELECT 1 FROM issue WHERE part_of = v.iri))), ('CC-17', (SELECT count(*) FROM issue v WHERE NOT EXISTS (SELECT 1 FROM article WHERE part_of = v.iri))), ('CC-18', 0), ('CC-19', 0), ('CC-20', 0), ('CC-21', 0), ('CC-22', (SELECT count(*) FROM book WHERE iri NOT IN (SELECT cited FROM cites))), ('CC-23', 0), ('CC-32', 0), ('CC-33', 0)) v(check_id, n)")
+@faulty(" UNION ALL ".join(f"SELECT '{k}' AS check_id, count(*)::INT AS n FROM ({sql})" for k, sql in CHECKS.items()))
 def check_all(c):
-    """[CC-*] Violations of each check over the corpus as it is."""
+    """[CC-*] Violations of each check."""
     return ck.summary(c)
 
 
