@@ -364,24 +364,39 @@ def wide_lanes(queries: np.ndarray, blocks: np.ndarray, planes: np.ndarray, lane
     return out
 
 
-def cell_links(members: np.ndarray, prints: np.ndarray, others: np.ndarray, other_prints: np.ndarray, radius: int = NEAR_RADIUS, pairs_at_once: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """(node, least node linked to it) over all pairs of a cell's two sides within ``radius`` bits; the nodes' own links only, one for each component."""
-    width = -(-len(others) // 64)
-    padded, used = np.zeros((width * 64, other_prints.shape[1]), np.uint64), np.zeros(width * 64, np.uint8)
-    padded[: len(others)], used[: len(others)] = other_prints, 1
+def cell_links(cell: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, radius: int = NEAR_RADIUS, pairs_at_once: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node linked to it): what connects rows of side 0 with those of side 1 of their cell within ``radius`` bits.
+
+    ``cell`` is sorted. Many small cells are compared at once: each has blocks of
+    64 of its side 1, which all of its side 0 meet.
+    """
+    zeros, ones = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    ids, first, counts = np.unique(cell[ones], return_index=True, return_counts=True)
+    zeros = zeros[np.isin(cell[zeros], ids)]
+    width = -(-counts // 64)
+    block0 = np.cumsum(width) - width
+    slots = np.repeat(block0 * 64 - first, counts) + np.arange(len(ones))
+    padded, used, row_of = np.zeros((int(width.sum()) * 64, prints.shape[1]), np.uint64), np.zeros(int(width.sum()) * 64, np.uint8), np.zeros(int(width.sum()) * 64, np.int64)
+    padded[slots], used[slots], row_of[slots] = prints[ones], 1, ones
     planes, lanes = planes_of(padded), np.packbits(used.reshape(-1, 64), axis=1, bitorder="little").view(np.uint64)[:, 0]
-    nodes, places = np.unique(np.concatenate((members, others)), return_inverse=True)
+    own = np.searchsorted(ids, cell[zeros])
+    nodes, places = np.unique(node, return_inverse=True)
     root = np.arange(len(nodes))
-    step = max(1, pairs_at_once // max(1, width))
-    for i in range(0, len(members), step):
-        who = np.repeat(np.arange(i, min(i + step, len(members))), width)
-        block = np.tile(np.arange(width), len(who) // width)
+    # Every row of side 0 against every block of its cell, a bounded number of pairs at a time.
+    tasks, done = np.cumsum(width[own]), 0
+    while done < len(zeros):
+        base = tasks[done - 1] if done else 0
+        end = max(done + 1, int(np.searchsorted(tasks, base + pairs_at_once, "right")))
+        w = width[own[done:end]]
+        who = np.repeat(zeros[done:end], w)
+        block = np.repeat(block0[own[done:end]], w) + (np.arange(len(who)) - np.repeat(np.cumsum(w) - w, w))
         found = wide_lanes(prints[who], block, planes, lanes, radius)
         hit = np.flatnonzero(found)
         at, lane = np.nonzero(np.unpackbits(found[hit].reshape(-1, 1).view(np.uint8), axis=1, bitorder="little"))
-        u, v = places[who[hit[at]]], places[len(members) + block[hit[at]] * 64 + lane]
+        u, v = places[who[hit[at]]], places[row_of[block[hit[at]] * 64 + lane]]
         if len(u):
             root = root[roots(len(root), np.concatenate((np.arange(len(root)), u)), np.concatenate((root, v)))]
+        done = end
     moved = np.flatnonzero(root != np.arange(len(root)))
     return nodes[moved], nodes[root[moved]]
 
@@ -390,24 +405,33 @@ def _binary_words(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (cell, side): the links of each cell, of which one at a time is held."""
+def _cells_within(radius: int):
+    """Rows sorted by (cell, side): the links of the cells that are whole in a batch, or were held until they were."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    current, sides = None, ([], [])
 
-    def close():
-        if sides[0] and sides[1]:
-            (n0, p0), (n1, p1) = ((np.array([n for n, _ in x], np.int64), np.frombuffer(b"".join(p for _, p in x), np.uint64).reshape(len(x), -1)) for x in sides)
-            a, b = cell_links(n0, p0, n1, p1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+    def links(held):
+        key, i, j, side, node, prints = held
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        a, b = cell_links(np.cumsum(new), side, node, prints, radius)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
 
-    for batch in batches:
-        for key, i, j, side, node, fp in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "node", "fp"))):
-            if (key, i, j) != current:
-                yield from close()
-                current, sides = (key, i, j), ([], [])
-            sides[side].append((node, fp))
-    yield from close()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            got = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "i", "j", "side", "node")] + [_binary_words(batch.column("fp"))]
+            held = got if held is None else [np.concatenate(x) for x in zip(held, got)]
+            other = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]) | (held[2] != held[2][-1]))
+            if len(other):
+                cut = int(other[-1]) + 1
+                yield links([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        if held is not None:
+            yield links(held)
+
+    return compare
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -452,7 +476,7 @@ def near_links(nodes: DataFrame, radius: int = NEAR_RADIUS, cell: int = CELL) ->
     one = left.filter("NOT near").select("key", chunk("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(0).alias("side"), "node", "fp")
     two = left.select("key", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), chunk("columns").alias("j"), F.lit(1).alias("side"), "node", "fp")
     cells = one.unionByName(two).repartition(partitions(nodes.sparkSession, 320 * inside_rows), "key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-    return direct.unionByName(cells.mapInArrow(_cells, "a long, b long"))
+    return direct.unionByName(cells.mapInArrow(_cells_within(radius), "a long, b long"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
