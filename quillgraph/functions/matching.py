@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillgraph.functions.text import search_words
+from quillgraph.sources.workspace import written
 
 #: Parameters of the ranking function, and the threshold that comes with an index of its own scale.
 K1, B = 1.2, 0.75
@@ -26,30 +27,67 @@ def all_terms(docs: DataFrame, column: str, query: str) -> DataFrame:
     return docs.filter(F.col(column).isNotNull() & (F.size(F.array_except(wanted, words(F.col(column)))) == 0) & (F.size(wanted) > 0))
 
 
-def token_index(works: DataFrame, id_column: str = "id", text: str = "bibref") -> tuple[DataFrame, DataFrame]:
-    """[DM-8] Postings (token, id, tf, length) and token statistics (token, idf, mean) of works."""
-    tokens = works.select(F.col(id_column).alias("id"), search_words(F.col(text)).alias("w"))
-    sized = tokens.select("id", "w", F.size("w").alias("length"))
-    totals = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).withColumn("__one", F.lit(1))
-    postings = sized.select("id", "length", F.explode("w").alias("token")).groupBy("token", "id", "length").agg(F.count("*").alias("tf"))
-    df = postings.groupBy("token").agg(F.count("*").alias("df"))
-    stats = df.withColumn("__one", F.lit(1)).join(F.broadcast(totals), "__one").select("token", "df", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "mean")
-    return postings, stats
+def ranked_terms(docs: DataFrame, column: str, query: str, key: str, least: float = 0.2, most: int = 300) -> DataFrame:
+    """[TXT-03] The best ``most`` rows that have all words of ``query``, with relevance (the share of its words that are words of the query, ``least`` at least) and rank; ties by ``key``."""
+    wanted = F.array_distinct(words(F.lit(query)))
+    own = words(F.col(column))
+    found = all_terms(docs, column, query).withColumn("relevance", F.round(F.size(F.filter(own, lambda w: F.array_contains(wanted, w))) / F.size(own), 6)).filter(F.col("relevance") >= least)
+    top = found.orderBy(F.col("relevance").desc(), key).limit(most)  # ``most`` rows, which one task can number
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("relevance").desc(), key)))
 
 
-def token_search(queries: DataFrame, postings: DataFrame, stats: DataFrame, k: int = 1, least: float = 0.0, most_df: int | None = None) -> DataFrame:
+def token_index(works: DataFrame, id_column: str = "id", text: str = "bibref") -> tuple[DataFrame, DataFrame]:
+    """[DM-8] Postings (token, id, weight), a written table, and token statistics (token, df, idf, most) of works.
+
+    weight is the part of BM25 that does not depend on the other works but for
+    their mean length; ``most`` is the largest weight of a token times its idf: no
+    work can gain more by it.
+    """
+    sized = works.select(F.col(id_column).alias("id"), search_words(F.col(text)).alias("w")).select("id", "w", F.size("w").alias("length"))
+    counted = sized.select("id", "length", F.explode("w").alias("token")).groupBy("token", "id", "length").agg(F.count("*").alias("tf"))
+    counted = written(counted, "postings")
+    n, total = works.count(), counted.agg(F.sum("tf")).first()[0] or 0
+    tf, mean = F.col("tf").cast("double"), F.lit(total / n if total else 1.0)
+    postings = counted.select("token", "id", (tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / mean))).alias("weight"))
+    df = F.col("df")
+    idf = F.log(1 + (F.lit(float(n)) - df + 0.5) / (df + 0.5))
+    stats = postings.groupBy("token").agg(F.count("*").alias("df"), F.max("weight").alias("largest"))
+    return postings, stats.select("token", "df", idf.alias("idf"), (idf * F.col("largest")).alias("most"))
+
+
+def token_search(queries: DataFrame, postings: DataFrame, stats: DataFrame, k: int = 1, least: float = 0.0, probe: int = 8) -> DataFrame:
     """[TXT-01, SRC-09, SRC-16] query_id, id, score, rank: the ``k`` best works of each query (query_id, text) with a score above ``least``.
 
     Scores are BM25 over the distinct words of the query, summed in an order that
-    does not matter to 6 decimals; ties go to the smaller id. ``most_df`` leaves
-    words out that more works have, which bounds the join for very common ones.
+    does not matter to 6 decimals; ties go to the smaller id. Exact, with work
+    bounded by the rarer words: the works that the ``probe`` rarest of a query
+    rate best give its k-th best score from below. Words that together cannot lift a work to that score find
+    no works by themselves (so the most common ones are not joined with all
+    they are in); they only add to the works that the others find and that can
+    still get there.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(search_words(F.col("text")))).alias("token")).join(stats if most_df is None else stats.filter(F.col("df") <= most_df), "token")
-    tf = F.col("tf").cast("double")
-    part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    scored = asked.join(postings, "token").groupBy("query_id", "id").agg(F.round(F.sum(part), 6).alias("score")).filter(F.col("score") > least)
+    close = 1e-5  # more than rounding takes away
+    asked = queries.select("query_id", F.explode(F.array_distinct(search_words(F.col("text")))).alias("token")).join(stats, "token")
+    own = Window.partitionBy("query_id")  # the words of one query
+    asked = asked.withColumns({"rarity": F.row_number().over(own.orderBy("df", "token")), "reach": F.sum("most").over(own.orderBy("most", "token").rowsBetween(Window.unboundedPreceding, 0))})
+    asked = written(asked.select("query_id", "token", "idf", "most", "rarity", "reach"), "asked")
+    gain = F.col("idf") * F.col("weight")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    rank = lambda rows: rows.withColumn("rank", F.row_number().over(best))
+    add_up = lambda rows: rows.groupBy("query_id", "id").agg(F.sum(gain).alias("score"))
+    # The best works by the rarest words, scored by all words: the k-th best of these is reached by k works at least.
+    first = rank(add_up(asked.filter(F.col("rarity") <= probe).join(postings, "token"))).filter(F.col("rank") <= 8 * k).select("query_id", "id")
+    known = rank(add_up(first.join(asked.select("query_id", "token", "idf"), "query_id").join(postings, ["token", "id"])))
+    floor = known.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    terms = asked.join(floor, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))).withColumn("finds", F.col("reach") >= F.col("floor") - close)
+    terms = written(terms, "terms")
+    rest = terms.filter("NOT finds").groupBy("query_id").agg(F.max("reach").alias("rest"))
+    found = terms.filter("finds").join(postings, "token").groupBy("query_id", "id").agg(F.sum(gain).alias("score"), F.first("floor").alias("floor"))
+    found = found.join(rest, "query_id", "left").filter(F.col("score") + F.coalesce("rest", F.lit(0.0)) >= F.col("floor") - close).select("query_id", "id", "score")
+    found = written(found, "found")
+    more = found.select("query_id", "id").join(terms.filter("NOT finds").select("query_id", "token", "idf"), "query_id").join(postings, ["token", "id"]).select("query_id", "id", gain.alias("gain"))
+    scored = found.select("query_id", "id", F.col("score").alias("gain")).unionByName(more).groupBy("query_id", "id").agg(F.round(F.sum("gain"), 6).alias("score")).filter(F.col("score") > least)
+    return rank(scored).filter(F.col("rank") <= k)
 
 
 def block_offsets(short: str, long: str) -> set[int]:

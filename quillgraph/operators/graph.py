@@ -95,6 +95,12 @@ def snapshots(changed: DataFrame, last: DataFrame, time: str) -> DataFrame:
     return rows.select("subject", n.alias("n"), F.lit(time).alias("generated"), F.when(~created, iri(n - 1)).alias("derived_from"), F.when(F.col("removed"), iri(n)).when(~created, iri(n - 1)).alias("invalidates"), F.concat(F.lit("The entity '"), F.col("subject"), F.lit("' has been "), text, F.lit(".")).alias("description"))
 
 
+def latest(snapshots: DataFrame) -> DataFrame:
+    """[RS-10] Of ``snapshots`` (subject, n, iri, derived_from, invalidates) those that none derives from or invalidates, themselves included."""
+    gone = snapshots.select(F.explode(F.array_compact(F.array("derived_from", "invalidates"))).alias("iri"))
+    return snapshots.join(gone, "iri", "left_anti").select("subject", "n", "iri")
+
+
 def merge(quads: DataFrame, mapping: DataFrame, keep_kind: str = "br") -> DataFrame:
     """[G-14, SNK-07] Entities replaced by others: ``mapping`` (old, new).
 

@@ -270,3 +270,8 @@ def pointer_entities(pointers: DataFrame, entries: DataFrame) -> DataFrame:
     order = [c for c in ("pos", "ordinal") if c in rows.columns]
     ordinal = F.row_number().over(pair.orderBy("doc", *order)).cast("string")
     return rows.withColumn("oci", F.concat(oci, F.lit("/"), ordinal)).withColumn("intrepid", F.concat(oci, F.lit("/"), ordinal, F.lit("-"), F.count("*").over(pair).cast("string")))
+
+
+def context_links(pointers: DataFrame) -> DataFrame:
+    """[PT-09] sentence and context of pointers (iri, list, sentence): each list a sentence holds, and each pointer outside of one, once."""
+    return pointers.select("sentence", F.coalesce("list", "iri").alias("context")).distinct()

@@ -345,6 +345,12 @@ def all_terms_search(c):
     return mt.all_terms(c.table("documents"), "text", "The rights RESERVED").select("doc_id")
 
 
+@query("""SELECT * FROM (SELECT iri, relevance, row_number() OVER (ORDER BY relevance DESC, iri)::INT AS rank FROM (SELECT iri, round(len(list_filter(w, lambda x: x IN ('study', 'of'))) / len(w), 6) AS relevance FROM (SELECT iri, regexp_extract_all(lower(title), '[a-z0-9]+') AS w FROM br WHERE title IS NOT NULL) WHERE list_has_all(w, ['study', 'of'])) WHERE relevance >= 0.2) WHERE rank <= 300""")
+def ranked_search(c):
+    """[TXT-03] The best 300 titles with all words, by relevance."""
+    return mt.ranked_terms(c.br.select("iri", "title"), "title", "Study of", "iri").select("iri", "relevance", "rank")
+
+
 @query()
 def fuzzy_choice(c):
     """[TXT-02, PT-14] Rows only: which of the three best documents holds most of the item, by partial ratio."""

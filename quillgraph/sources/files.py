@@ -28,6 +28,11 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("doc"), F.decode("content", "UTF-8").alias("xml"))
 
 
+def articles_of(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """[SRC-06] Rows of an extraction dataset (cur_name, ...) with the XML of the article file of that name; rows without one go."""
+    return rows.join(articles.select("doc", "xml"), F.col("cur_name") == F.col("doc"))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """[DM-4] Reference documents, one JSON object a file or a line."""
     return spark.read.schema(DOCUMENT).option("multiLine", True).json(path)

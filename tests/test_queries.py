@@ -8,11 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from quillgraph.plans import extraction, patterns, records, resolution, services
+from quillgraph.plans import extraction, inventory, patterns, records, resolution, services
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-PLANS = (patterns, resolution, services, extraction, records)
+PLANS = (patterns, resolution, services, extraction, records, inventory)
 CASES = [(n, q, p.SQL[n]) for p in PLANS for n, q in p.QUERIES.items() if n in p.SQL]
 
 
