@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import partitions, table
+from quillgraph.llm.common import partitions, table, written
 
 TOKEN = r"[\p{L}\p{N}]+"
 ANCHORS = 32
@@ -74,28 +74,35 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def similar_pairs(docs: DataFrame, least: float = LIKENESS, anchors: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Membership (doc_id, class_id) and pairs (a, b, likeness) of ``docs`` (doc_id, text): fingerprints alike by ``least`` or more.
+    """Membership (doc_id, class_id, class_key) and pairs (a, b, likeness, a_key, b_key) of ``docs`` (doc_id, text): fingerprints alike by ``least`` or more.
 
     Documents with equal fingerprints are one class, named by its smallest
-    doc_id (null only if it has no other); pairs are of classes, a < b. Sets of
+    doc_id (null only if it has no other) and known by the MD5 of the
+    fingerprint, so that texts under one id, or under none, stay apart. Pairs
+    are of classes, a_key < b_key; those without signatures are in none. Sets of
     sizes in [least**-p, least**-(p+1)) are in partition p, and meet only p and
     p + 1. Within a partition two sets meet at a signature among the rarest ones
-    of both, of which two alike sets must share one.
+    of both, of which two alike sets must share one. Texts count whole; an empty
+    table gives no rows; other columns are ignored.
     """
     anchors = anchors_of(docs) if anchors is None else anchors
-    sets = with_signatures(docs.select("doc_id", "text"), {"text": "sigs"}, anchors).select("doc_id", F.array_join("sigs", "").alias("fp"), "sigs")
-    classes = sets.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.first("sigs").alias("sigs"))
-    members = sets.select("doc_id", "fp").join(classes.select("fp", "class_id"), "fp").select("doc_id", "class_id")
-    classes = classes.filter(F.size("sigs") > 0).select("class_id", "sigs", F.size("sigs").alias("n")).withColumn("part", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least)) + 1e-9))
-    posted = classes.select("class_id", "n", "part", F.explode("sigs").alias("sig"))
+    sets = with_signatures(docs.select("doc_id", "text"), {"text": "sigs"}, anchors).select("doc_id", F.md5(F.array_join("sigs", "").cast("binary")).alias("class_key"), "sigs")
+    sets = written(sets, "spotsigs")
+    classes = written(sets.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.first("sigs").alias("sigs")), "spotsig-classes")
+    # Written, so that joins by class shuffle both sides and can split a class of very many documents.
+    members = sets.select("doc_id", F.col("class_key").alias("__k")).join(classes.select("class_key", "class_id"), F.col("__k") == F.col("class_key")).select("doc_id", "class_id", "class_key")
+    sized = classes.filter(F.size("sigs") > 0).select("class_key", "sigs", F.size("sigs").alias("n")).withColumn("part", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least)) + 1e-9))
+    posted = sized.select("class_key", "n", "part", F.explode("sigs").alias("sig"))
     # Rarest first: counted over all classes; a set posts only as many as it may miss, and one more.
-    counted = posted.join(posted.groupBy("sig").agg(F.count("*").alias("k")), "sig")
-    rare = counted.withColumn("at", F.row_number().over(Window.partitionBy("class_id").orderBy("k", "sig"))).filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
-    other = rare.select("sig", F.col("class_id").alias("b0"), F.col("n").alias("nb"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("part"), F.col("part").alias("pb"))
-    near = rare.join(other, ["sig", "part"]).filter((F.col("class_id") != F.col("b0")) & ((F.col("pb") > F.col("part")) | (F.col("class_id") < F.col("b0"))))
-    near = near.filter(F.least("n", "nb") >= F.greatest("n", "nb") * least - 1e-9).select(F.least("class_id", "b0").alias("a"), F.greatest("class_id", "b0").alias("b")).distinct()
-    side = lambda name: classes.select(F.col("class_id").alias(name), F.col("sigs").alias(f"sigs_{name}"))
-    pairs = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", likeness(F.col("sigs_a"), F.col("sigs_b"), least).alias("likeness")).filter(F.col("likeness") >= least)
+    known = written(posted.groupBy("sig").agg(F.count("*").alias("k")).withColumnRenamed("sig", "__sig"), "spotsig-counts")
+    counted = posted.join(known, F.col("sig") == F.col("__sig")).drop("__sig")
+    rare = counted.withColumn("at", F.row_number().over(Window.partitionBy("class_key").orderBy("k", "sig"))).filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    rare = written(rare.select("class_key", "n", "part", "sig"), "spotsig-prefixes")
+    other = rare.select(F.col("sig").alias("__sig"), F.col("class_key").alias("b0"), F.col("n").alias("nb"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("__part"), F.col("part").alias("pb"))
+    near = rare.join(other, (F.col("sig") == F.col("__sig")) & (F.col("part") == F.col("__part"))).filter((F.col("class_key") != F.col("b0")) & ((F.col("pb") > F.col("part")) | (F.col("class_key") < F.col("b0"))))
+    near = near.filter(F.least("n", "nb") >= F.greatest("n", "nb") * least - 1e-9).select(F.least("class_key", "b0").alias("a_key"), F.greatest("class_key", "b0").alias("b_key")).distinct()
+    side = lambda name: classes.select(F.col("class_key").alias(f"{name}_key"), F.col("class_id").alias(name), F.col("sigs").alias(f"sigs_{name}"))
+    pairs = near.join(side("a"), "a_key").join(side("b"), "b_key").select("a", "b", likeness(F.col("sigs_a"), F.col("sigs_b"), least).alias("likeness"), "a_key", "b_key").filter(F.col("likeness") >= least)
     return members, pairs
 
 
@@ -173,6 +180,14 @@ def op2_spotsigs(spark, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def spotsig_pairs(spark, sf_dir: str) -> DataFrame:
+    """Pairs of classes of documents whose fingerprints are alike by LIKENESS, the smaller id first, and how many documents each has."""
+    members, pairs = similar_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("n"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.round("likeness", 6).alias("likeness"))
+    return pairs.join(sizes.select(F.col("class_id").alias("a"), F.col("n").alias("docs_a")), "a").join(sizes.select(F.col("class_id").alias("b"), F.col("n").alias("docs_b")), "b").select("a", "b", "likeness", "docs_a", "docs_b")
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 a AS (SELECT list(word) AS anchors FROM (SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct(w)) AS word FROM d) GROUP BY word ORDER BY n DESC, word LIMIT 32)),
@@ -192,3 +207,14 @@ SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, edited_sha256, array_to_strin
        CASE WHEN len(sigs) + len(next_sigs) = 0 THEN 1.0::DOUBLE ELSE i2::DOUBLE / (len(sigs) + len(next_sigs) - i2) END AS near_next
 FROM k
 """
+
+#: Every class against every other one.
+PAIRS_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+a AS (SELECT list(word) AS anchors FROM (SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct(w)) AS word FROM d) GROUP BY word ORDER BY n DESC, word LIMIT 32)),
+c AS (SELECT doc_id, w, list_filter(w, lambda x: NOT list_contains(anchors, x)) AS content, list_filter(range(1, len(w) + 1), lambda i: list_contains(anchors, w[i])) AS marks FROM d, a),
+s AS (SELECT doc_id, list_sort(list_distinct(list_transform(list_concat([concat_ws(' ', '^', content[1], content[2])], list_transform(marks, lambda i, j: concat_ws(' ', w[i], content[i - j + 1], content[i - j + 2]))), lambda x: substr(md5(x), 1, 8)))) AS sigs FROM c WHERE len(w) > 0),
+k AS (SELECT sigs, len(sigs) AS n, min(doc_id) AS id, count(*) AS docs FROM s GROUP BY sigs),
+p AS (SELECT x.id AS a, y.id AS b, x.docs AS docs_a, y.docs AS docs_b, x.n + y.n AS total, len(list_intersect(x.sigs, y.sigs)) AS i FROM k x JOIN k y ON x.id < y.id AND x.n >= 0.8 * y.n - 1 AND y.n >= 0.8 * x.n - 1)
+SELECT a, b, round(i / (total - i), 6) AS likeness, docs_a, docs_b FROM p WHERE i >= 0.8 * (total - i)
+"""

@@ -349,11 +349,21 @@ def test_next_document_over_buckets_with_null_ids(spark):
 def test_similar_pairs(docs, rows, empty):
     anchors = ["the", "of", "and", "to"]
     members, pairs = spotsigs.similar_pairs(docs, 0.6, anchors)
+    key = lambda s: hashlib.md5("".join(sorted(s)).encode()).hexdigest()
     classes = {}
     for r in rows:
         classes.setdefault(frozenset(plain_signatures(r[1], anchors)), []).append(r[0])
     name = {s: min((i for i in ids if i is not None), default=None) for s, ids in classes.items()}
-    expected = {tuple(sorted((name[a], name[b]))) for a in name for b in name if a != b and a and b and len(a & b) / len(a | b) >= 0.6}
-    assert {(r["a"], r["b"]) for r in pairs.collect()} == expected
-    assert members.count() == len(rows)
+    expected = {(name[a], name[b], key(a), key(b)) for a in name for b in name if a and b and key(a) < key(b) and len(a & b) / len(a | b) >= 0.6}
+    assert {(r["a"], r["b"], r["a_key"], r["b_key"]) for r in pairs.collect()} == expected and expected
+    assert sorted(map(str, ((r["doc_id"], r["class_id"], r["class_key"]) for r in members.collect()))) == sorted(str((i, name[s], key(s))) for s, ids in classes.items() for i in ids)
     assert [x.collect() for x in spotsigs.similar_pairs(empty)] == [[], []]
+
+
+def test_similar_pairs_under_one_id(spark):
+    """Different texts that share an id, or have none, keep their links."""
+    base = [f"w{i}" for i in range(40)]
+    texts = [" the ".join([*base[:38], *x]) for x in (["a", "b"], ["c", "b"], ["a", "d"])]
+    docs = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, "the other text of the id")], "doc_id long, text string")
+    found = [r for r in spotsigs.similar_pairs(docs, 0.7, ["the"])[1].collect()]
+    assert sorted(str((r["a"], r["b"])) for r in found) in (["(None, 7)", "(None, 7)", "(None, None)"], ["(7, None)", "(7, None)", "(None, None)"], ["(7, None)", "(None, 7)", "(None, None)"])
