@@ -41,7 +41,7 @@ BAND_ROWS = 5
 #: average, with a deviation of 11.5: this one beyond it.
 NEAR_RADIUS = 166
 #: Members of a block on each side of a cell.
-CELL = 4096
+CELL = 512
 
 
 def shingle_hashes(text: str | None, shingle: int) -> tuple[bytes, np.ndarray]:
