@@ -197,6 +197,11 @@ def _described(entities: DataFrame, bound: DataFrame) -> DataFrame:
     return bound if set(entities.columns) <= set(bound.columns) else entities.join(bound.select("iri").distinct(), "iri", "left_semi")
 
 
+def _of(rows: DataFrame, key: str, bound: DataFrame) -> DataFrame:
+    """The rows about what is bound, so that only these are aggregated; all of them where whole entities are bound."""
+    return rows if "iri" not in bound.columns or len(bound.columns) > 2 else rows.join(bound.select(F.col("iri").alias(key)).distinct(), key, "left_semi")
+
+
 def _literal(c, scheme: str, name: str) -> DataFrame:
     return c.ident.filter(F.col("scheme") == scheme).select(F.col("owner").alias("iri"), F.col("literal").alias(name))
 
@@ -215,7 +220,7 @@ def journal(c, bound: DataFrame) -> DataFrame:
 def volume(c, bound: DataFrame, word: str = "Volume") -> DataFrame:
     """[CQ-2]"""
     rows = _described(c.br, bound)
-    held = c.br.filter("pub_date IS NOT NULL").select(F.col("part_of").alias("iri"), F.substring("pub_date", 1, 4).alias("year")).distinct()
+    held = _of(c.br.filter("pub_date IS NOT NULL").select(F.col("part_of").alias("iri"), F.substring("pub_date", 1, 4).alias("year")), "iri", bound).distinct()
     rows = rows.join(held, "iri", "left").join(journal_of(c).select(F.col("work").alias("iri"), "journal_iri", F.col("volume").alias("volume_number")), "iri", "left")
     names = c.journal.select(F.col("iri").alias("journal_iri"), F.col("title").alias("journal"))
     issn = _literal(c, "issn", "issn").withColumnRenamed("iri", "journal_iri")
@@ -228,10 +233,11 @@ def issue(c, bound: DataFrame) -> DataFrame:
     return volume(c, bound, "Issue")
 
 
-def authors_in_order(c) -> DataFrame:
-    """br, author, author_iri, chain: one row per role; chain counts the roles from it to the end, so the first author has most."""
+def authors_in_order(c, bound: DataFrame | None = None) -> DataFrame:
+    """br, author, author_iri, chain of all works or of those that are bound: one row per role; chain counts the roles from it to the end, so the first author has most."""
     last = Window.partitionBy("br")
-    roles = c.role.filter("role = 'author'").withColumn("chain", F.max("pos").over(last) - F.col("pos") + 1)
+    roles = c.role.filter("role = 'author'")
+    roles = (roles if bound is None else _of(roles, "br", bound)).withColumn("chain", F.max("pos").over(last) - F.col("pos") + 1)
     names = c.agent.select(F.col("iri").alias("ra"), F.concat_ws(" ", "given", "family").alias("author"))
     return roles.join(names, "ra").select("br", "author", F.col("ra").alias("author_iri"), "chain")
 
@@ -239,11 +245,11 @@ def authors_in_order(c) -> DataFrame:
 def document(c, bound: DataFrame) -> DataFrame:
     """[CQ-5] One row per work and author, without an author one row; tot orders the authors."""
     rows = _described(c.br, bound).join(_literal(c, "doi", "doi"), "iri", "left")
-    cited = c.cites.groupBy(F.col("cited").alias("iri")).agg(F.countDistinct("citing").alias("in_cits"))
+    cited = _of(c.cites, "cited", bound).groupBy(F.col("cited").alias("iri")).agg(F.countDistinct("citing").alias("in_cits"))
     where = journal_of(c).select(F.col("work").alias("iri"), "journal_iri", "volume")
     names = c.journal.select(F.col("iri").alias("journal_iri"), F.col("title").alias("journal"))
     pages = c.embodiment.select(F.col("br").alias("iri"), "start", "end")
-    author = authors_in_order(c).groupBy(F.col("br").alias("iri"), "author", "author_iri").agg(F.sum("chain").alias("tot"))
+    author = authors_in_order(c, bound).groupBy(F.col("br").alias("iri"), "author", "author_iri").agg(F.sum("chain").alias("tot"))
     rows = rows.join(cited, "iri", "left").join(where, "iri", "left").join(names, "journal_iri", "left").join(pages, "iri", "left").join(author, "iri", "left")
     data = F.when(F.col("start").isNotNull() & F.col("volume").isNotNull(), F.concat(F.lit(", "), F.col("volume"), F.lit(": "), F.col("start"), F.lit("-"), F.col("end")))
     return rows.select(
@@ -262,7 +268,7 @@ def document_intext(c, bound: DataFrame) -> DataFrame:
 def author(c, bound: DataFrame, distinct: bool = False) -> DataFrame:
     """[CQ-6, Q-25] Both counts are over works times citations as written; ``distinct`` counts works and citations once."""
     rows = _described(c.agent, bound).join(_literal(c, "orcid", "orcid"), "iri", "left")
-    works = c.role.select(F.col("ra").alias("iri"), F.col("iri").alias("role_iri"), F.col("br").alias("doc"))
+    works = _of(c.role.select("ra", F.col("br").alias("doc")), "ra", bound).select(F.col("ra").alias("iri"), "doc")
     joined = works.join(c.cites.select(F.col("cited").alias("doc"), "citing"), "doc", "left")
     count = (F.countDistinct("doc"), F.countDistinct("doc", "citing")) if distinct else (F.count("doc"), F.count("citing"))
     counts = joined.groupBy("iri").agg(count[0].alias("num_docs"), count[1].alias("citations"))
