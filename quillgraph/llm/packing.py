@@ -196,7 +196,7 @@ def pack(docs: DataFrame, sequence: int = SEQUENCE, files: tuple[str, str] | Non
 
     A document is its tokens and an end token; null text counts as empty, and is
     the end token alone. Rows with the same doc_id are packed each for itself.
-    An empty table gives no rows; other columns are ignored. ``with_ids`` adds
+    Texts of any length are encoded whole, one at a time. An empty table gives no rows; other columns are ignored. ``with_ids`` adds
     the tokens: the sequence itself is its pieces in order of offset.
     """
     made = written(pieces(docs, sequence, files, with_ids), "pieces")
