@@ -132,13 +132,14 @@ def article_xml(c):
     """Orders as articles: their first lines are references, with a pointer to each in a text of two sentences."""
     number = F.col("pos").cast("string")
     part, brand = c.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), F.col("p_brand")
-    rows = c.lines.join(part, "l_partkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("pos", "l_partkey", "p_name", brand))).alias("all"))
+    # By the text, as what is done with the articles is: then their XML is not shuffled again.
+    rows = c.lines.join(part, "l_partkey").groupBy(F.col("l_orderkey").cast("string").alias("doc")).agg(F.array_sort(F.collect_list(F.struct("pos", "l_partkey", "p_name", brand))).alias("all"))
     one = lambda x: F.concat(F.lit("<ref id='B"), x["pos"].cast("string"), F.lit("'><element-citation><person-group><name><surname>"), x["p_brand"], F.lit("</surname><given-names>A</given-names></name></person-group><article-title>"), x["p_name"], F.lit("</article-title><pub-id pub-id-type='doi'>10.1/"), x["l_partkey"].cast("string"), F.lit("</pub-id></element-citation></ref>"))
     point = lambda x: F.concat(F.lit("<xref ref-type='bibr' rid='B"), x["pos"].cast("string"), F.lit("'>"), x["pos"].cast("string"), F.lit("</xref>"))
     refs, points = F.array_join(F.transform("all", one), ""), F.array_join(F.transform("all", point), ", ")
-    k = F.col("l_orderkey").cast("string")
+    k = F.col("doc")
     xml = F.concat(F.lit("<!DOCTYPE article PUBLIC 'x' 'y.dtd'><article><front><article-meta><article-id pub-id-type='doi'>10.9/"), k, F.lit("</article-id></article-meta></front><body><sec><title>Results</title><p>As shown by others et al. before &mdash; ["), points, F.lit("]. Then more follows [<xref rid='B1'>1</xref>].</p></sec></body><back><ref-list>"), refs, F.lit("</ref-list></back></article>"))
-    return rows.select(k.alias("doc"), xml.alias("xml"))
+    return rows.select("doc", xml.alias("xml"))
 
 
 @query("SELECT l_orderkey::VARCHAR AS doc, (pos - 1)::INT AS pos, 'B' || pos AS xmlid, p_brand || ', A. ' || p_name || ', DOI: 10.1/' || l_partkey AS text, '10.1/' || l_partkey AS doi FROM lines JOIN part ON p_partkey = l_partkey")

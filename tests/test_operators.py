@@ -151,6 +151,19 @@ def test_pointers_of_an_article(articles):
     assert census["ref", None] == 7 and census["ref", "id"] == 6
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_discourse_needs_no_join(spark):
+    found = spark.createDataFrame([("a", "/article/body[1]/sec[1]/x[1]/p[2]"), ("a", "/article/body[1]/sec[1]"), ("b", "/article/fn[1]"), ("b", "p[1]"), ("b", None)], "doc string, parent_path string")
+    sec = "/article/body[1]/sec[1]"
+    assert rows(jats.discourse(found)) == sorted([("a", sec, "Section", None), ("a", f"{sec}/x[1]/p[2]", "Paragraph", sec), ("b", "/article/fn[1]", "Footnote", None), ("b", "p[1]", "Paragraph", None)], key=str)
+    articles = spark.createDataFrame([("a", "<article><body><sec><p>x <xref rid='B1'>1</xref></p></sec></body><back><ref-list><ref id='B1'/></ref-list></back></article>")], "doc string, xml string")
+    text = plan(jats.discourse(jats.extract_pointers(articles)))
+    assert text.count("MapInArrow") == 1 and "Join" not in text  # each article is parsed once
+
+
 def test_sentences():
     text = "A first one, e.g. this (see Fig. 2). A second by J. Smith et al. 2001. [1] Third?"
     assert [text[a:b].strip() for a, b in jats.sentences(text)] == ["A first one, e.g. this (see Fig. 2).", "A second by J. Smith et al. 2001.", "[1] Third?"]
