@@ -51,20 +51,6 @@ MARKS = (*DASHES, *",.!?;:")
 UNTIDY = r"^ |[-–( ] | [,.!?;:]|[-–,.!?;:] [-–]|[-–,.!?;:]{2}|\(\."
 
 
-def citation_pieces(cited) -> Iterator[tuple[str, str, str, str]]:
-    """Where it comes from, label, text and following text of the citation itself and of each element in it, in order of the document."""
-    yield "fields", "", cited.text or "", ""
-    todo = [(child, "fields") for child in reversed(cited)]
-    while todo:
-        e, source = todo.pop()
-        if isinstance(e, str):
-            yield source, "", "", e
-            continue
-        yield source, LABELS.get(e.get("pub-id-type"), "") if e.tag == "pub-id" else "", e.text or "", ""
-        todo.append((e.tail or "", source))
-        todo += [(child, "names" if e.tag == "person-group" else source) for child in reversed(e)]
-
-
 def tidied(text: str) -> str:
     """Spaces and marks of a text put together from pieces set right, mark by mark.
 
@@ -98,13 +84,34 @@ def citation_text(ref) -> str | None:
     cited = next((e for e in ref if e.tag in BETWEEN_FIELDS), None)
     if cited is None:
         return None
-    text, before = "", None
-    for source, label, own, after in citation_pieces(cited):
-        if own.strip():
-            if before:
-                text += BETWEEN.get((before, source), BETWEEN_FIELDS[cited.tag])
-            before = source
-        text += label + own + after
+    pieces, before, source = [cited.text or ""], "fields" if (cited.text or "").strip() else None, "fields"
+    # Where to go on behind an element: its siblings, where they come from, and its following text.
+    above: list[tuple] = []
+    siblings = iter(cited)
+    while True:
+        for e in siblings:
+            own = e.text
+            if own and not own.isspace():
+                if before:
+                    pieces.append(BETWEEN.get((before, source)) or BETWEEN_FIELDS[cited.tag])
+                before = source
+            if e.tag == "pub-id":
+                pieces.append(LABELS.get(e.get("pub-id-type"), ""))
+            if own:
+                pieces.append(own)
+            if len(e):
+                above.append((siblings, source, e.tail))
+                siblings, source = iter(e), "names" if e.tag == "person-group" else source
+                break
+            if e.tail:
+                pieces.append(e.tail)
+        else:
+            if not above:
+                break
+            siblings, source, tail = above.pop()
+            if tail:
+                pieces.append(tail)
+    text = "".join(pieces)
     return tidied(_squeezed(text)) or None
 
 
