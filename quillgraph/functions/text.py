@@ -6,10 +6,12 @@ unless a docstring says otherwise.
 
 from __future__ import annotations
 
-import pandas as pd
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Patterns of identifiers, as the formats demand them.
 DOI_IN_TEXT = r'[^A-z0-9\.](10\.[0-9]+(\.[0-9]+)*/[^%"# \?<>{}\^\[\]`\|\\\+]+)'
@@ -27,15 +29,27 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
-@F.pandas_udf(T.StringType())
-def _ascii(values: pd.Series) -> pd.Series:
-    there = values.notna()
-    return values.where(~there, values[there].str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii"))
+@cache
+def _ascii_forms() -> tuple[dict[str, str], dict[str, str]]:
+    """What is left of each other character by compatibility decomposition without what is not ASCII: one character, or several."""
+    forms = {chr(i): unicodedata.normalize("NFKD", chr(i)).encode("ascii", "ignore").decode() for i in range(128, sys.maxunicode + 1) if not 0xD800 <= i < 0xE000}
+    return {c: f for c, f in forms.items() if len(f) == 1}, {c: f for c, f in forms.items() if len(f) > 1}
 
 
 def normalise_ascii(c: Column) -> Column:
-    """[SC-01] Compatibility decomposition without what is not ASCII; plain ASCII never leaves the JVM's fast path for nothing else to do."""
-    return _ascii(c)
+    """[SC-01] Compatibility decomposition without what is not ASCII, character by character (an ASCII character is never moved by it).
+
+    Built-ins only: nothing goes to Python. Plain ASCII is left alone, and the few
+    characters that become several are looked up only in texts that have them.
+    """
+    one, several = _ascii_forms()
+    table = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
+    # Long classes of characters are slow in regular expressions, so single characters are looked up.
+    pieces = F.regexp_extract_all(c, F.lit(r"[\x00-\x7F]+|[^\x00-\x7F]"), F.lit(0))
+    long = F.array_join(F.transform(pieces, lambda x: F.when(x >= "\x80", F.coalesce(table[x], x)).otherwise(x)), "")
+    plain = lambda x: F.regexp_replace(F.translate(x, "".join(one), "".join(one.values())), r"[^\x00-\x7F]+", "")
+    others = F.regexp_replace(c, r"[\x00-\x7F]+", "")
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(F.translate(others, "".join(several), "") != others, plain(long)).otherwise(plain(c))
 
 
 def normalise_name(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import difflib
 import random
+import sys
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +30,14 @@ def test_names(spark):
     assert values(spark, tx.normalise_ascii, "ﬁne ½ ß") == ["fine 12 "]
 
 
+def test_ascii_form_of_every_character(spark):
+    every = "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)
+    texts = [None, "", "plain", "é", "\x7fﬁ\n½é", *(f"a{every[k : k + 1000]}z" for k in range(0, len(every), 1000))]
+    assert values(spark, tx.normalise_ascii, *texts) == [t and unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in texts]
+    frame = spark.createDataFrame([("é",)], "x string").select(tx.normalise_name(F.col("x")), tx.normalise_id(F.col("x")), tx.clean_entry(F.col("x")))
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()  # texts stay out of the memory of Python
+
+
 def test_identifiers(spark):
     assert values(spark, tx.normalise_doi, "doi:10.1/A b%2Fc+d", "none", "10.5/x%ZZ", "x10.2/ Y\0", None) == ["10.1/ab/c+d", None, "10.5/x%zz", "10.2/y", None]
     assert values(spark, tx.extract_doi, "see 10.1016/j.x.2020.1. End", "10.1/start", "(10.2.3/abc),", "no", None) == ["10.1016/j.x.2020.1", None, "10.2.3/abc)", None, None]
