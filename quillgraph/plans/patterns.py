@@ -172,13 +172,11 @@ def count_distinct_cites(c):
 def coauthor_pairs(c):
     """[AG-05] Unordered pairs of authors with the sum of their counts.
 
-    Roles of an article are few, so its pairs are made from its sorted agents;
-    ordered pairs are counted first, then both orders summed.
+    Roles of an article are few, so its pairs are made from its sorted agents.
     """
     agents = c.role.groupBy("br").agg(F.array_sort(F.collect_list(F.struct("pos", "ra"))).alias("all"))
     pairs = agents.select(F.posexplode("all").alias("i", "x"), "all").select(F.col("x.ra").alias("a"), F.explode(F.expr("slice(all, i + 2, size(all))")).alias("y")).select("a", F.col("y.ra").alias("b"))
-    counted = pairs.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    return unordered_pairs(counted, "a", "b", "n")
+    return unordered_pairs(pairs.filter("a <> b").withColumn("n", F.lit(1).cast("long")), "a", "b", "n")
 
 
 def unordered_pairs(df, a: str, b: str, n: str):

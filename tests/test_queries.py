@@ -60,3 +60,23 @@ def test_import_without_optional_parts(tmp_path):
     shutil.copytree(f"{ROOT}/quillgraph", tmp_path / "quillgraph", ignore=lambda d, names: ["llm"] if "llm" in names else [])
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(n.startswith('op') and n[2:3].isdigit() for n in q) and 'pipeline' not in q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+
+
+def _plan(spark, name):
+    return __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_counted_once(spark):
+    assert "Exchange hashpartitioning(a#" not in _plan(spark, "coauthor_pairs")
+
+
+def test_works_of_authors_are_not_expanded(spark):
+    assert "Expand" not in _plan(spark, "cat_author_distinct")
+
+
+def test_least_citing_work_sorts_no_rows(spark):
+    assert "Window" not in _plan(spark, "distinct_first_doi")
+
+
+def test_citations_are_made_distinct_once(spark):
+    assert "Exchange hashpartitioning(citing" not in _plan(spark, "distinct_order_limit")
