@@ -269,9 +269,11 @@ def author(c, bound: DataFrame, distinct: bool = False) -> DataFrame:
     """[CQ-6, Q-25] Both counts are over works times citations as written; ``distinct`` counts works and citations once."""
     rows = _described(c.agent, bound).join(_literal(c, "orcid", "orcid"), "iri", "left")
     works = _of(c.role.select("ra", F.col("br").alias("doc")), "ra", bound).select(F.col("ra").alias("iri"), "doc")
-    joined = works.join(c.cites.select(F.col("cited").alias("doc"), "citing"), "doc", "left")
-    count = (F.countDistinct("doc"), F.countDistinct("doc", "citing")) if distinct else (F.count("doc"), F.count("citing"))
-    counts = joined.groupBy("iri").agg(count[0].alias("num_docs"), count[1].alias("citations"))
+    # Citations are counted by work before the works meet their authors, who then add up numbers.
+    cited = c.cites.groupBy(F.col("cited").alias("doc")).agg((F.countDistinct("citing") if distinct else F.count("citing")).alias("n"), F.count("*").alias("rows"))
+    works, n = works.distinct() if distinct else works, F.coalesce("n", F.lit(0))
+    joined = works.filter("doc IS NOT NULL").join(cited, "doc", "left")
+    counts = joined.groupBy("iri").agg((F.count("*") if distinct else F.sum(F.greatest(n, F.lit(1)))).alias("num_docs"), F.sum(n).alias("citations"))
     return rows.join(counts, "iri", "left").select("iri", *_short("ra"), "orcid", F.concat_ws(" ", "given", "family").alias("author"), F.coalesce("num_docs", F.lit(0)).alias("num_docs"), F.coalesce("citations", F.lit(0)).alias("citations"))
 
 
