@@ -99,6 +99,11 @@ def construct(quads: DataFrame, subjects: DataFrame) -> DataFrame:
     return quads.join(subjects.distinct(), "s", "left_semi").select("s", "p", "o")
 
 
+def least(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """[AG-06] The least value of each key, by an aggregation: no row is sorted."""
+    return df.groupBy(*keys).agg(F.min(value).alias(value))
+
+
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """[AG-06, RS-04] The first row of each key."""
     from pyspark.sql import Window

@@ -187,7 +187,7 @@ def unordered_pairs(df, a: str, b: str, n: str):
 @query("SELECT cited AS doi_owner, min(citing) AS first FROM cites GROUP BY cited")
 def distinct_first_doi(c):
     """[AG-06]"""
-    return al.first_by(c.cites, ["cited"], F.col("citing")).select(F.col("cited").alias("doi_owner"), F.col("citing").alias("first"))
+    return al.least(c.cites, ["cited"], "citing").select(F.col("cited").alias("doi_owner"), F.col("citing").alias("first"))
 
 
 @query("SELECT substr(a.pub_date, 1, 4) AS year, (b.iri IS NOT NULL) AS own, count(*) AS n FROM cites JOIN article a ON a.iri = citing LEFT JOIN (SELECT DISTINCT br AS iri FROM role) b ON b.iri = cited GROUP BY ALL")
