@@ -148,7 +148,7 @@ def anonymous_node(c):
 @query("SELECT cited, count(*) AS n FROM cites GROUP BY cited ORDER BY n DESC, cited LIMIT 20")
 def distinct_order_limit(c):
     """[QA-17]"""
-    return c.cites.distinct().groupBy("cited").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "cited").limit(20)
+    return c.cites.groupBy("cited").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "cited").limit(20)
 
 
 # --- aggregates ----------------------------------------------------------------------------------
