@@ -15,9 +15,10 @@ def triples(df: DataFrame, subject: str, fields: dict[str, tuple[str, str]]) ->
 
     Each entity's graph is that of its class.
     """
-    rows = F.array(*[F.struct(F.lit(expand(PREDICATES[p])).alias("p"), F.col(c).cast("string").alias("o"), F.lit(kind).alias("o_kind")) for c, (p, kind) in fields.items()])
-    out = df.select(F.col(subject).alias("s"), F.explode(rows).alias("x")).select("s", "x.p", "x.o", "x.o_kind").filter(F.trim("o") != "")
-    return out.select(graph_of(F.col("s")).alias("g"), "s", "p", "o", "o_kind", F.lit(None).cast("string").alias("o_dt"))
+    rows = [[F.lit(expand(PREDICATES[p])).alias("p"), F.col(c).cast("string").alias("o"), F.lit(kind).alias("o_kind")] for c, (p, kind) in fields.items()]
+    of = [graph_of(F.col(subject)).alias("g"), F.col(subject).alias("s")]
+    out = df.select(*of, *rows[0]) if len(rows) == 1 else df.select(*of, F.explode(F.array(*[F.struct(*r) for r in rows])).alias("x")).select("g", "s", "x.p", "x.o", "x.o_kind")
+    return out.filter(F.trim("o") != "").withColumn("o_dt", F.lit(None).cast("string"))
 
 
 def graph_of(iri: Column) -> Column:
@@ -29,12 +30,34 @@ def type_triples(df: DataFrame, kind: str, subject: str = "iri") -> DataFrame:
     return df.select(graph_of(F.col(subject)).alias("g"), F.col(subject).alias("s"), F.lit(expand(PREDICATES["type"])).alias("p"), F.lit(expand(CLASSES[kind])).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"))
 
 
-def as_set(*quads: DataFrame) -> DataFrame:
-    """Union with set semantics."""
+def union(*quads: DataFrame) -> DataFrame:
     out = quads[0]
     for q in quads[1:]:
         out = out.unionByName(q)
-    return out.dropDuplicates(["g", "s", "p", "o", "o_kind"])
+    return out
+
+
+def as_set(*quads: DataFrame) -> DataFrame:
+    """Union with set semantics."""
+    return once(union(*quads))
+
+
+#: Rows of two strings that are broadcast at most (about 200 MB).
+SMALL = 1_000_000
+
+
+def once(quads: DataFrame) -> DataFrame:
+    """``quads`` with set semantics; literals of two datatypes are two.
+
+    All columns of a quad are keys: a column that is only carried along, as a
+    string is, would have Spark sort the rows.
+    """
+    return quads.dropDuplicates([c for c in ("g", "s", "p", "o", "o_kind", "o_dt") if c in quads.columns])
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """With a broadcast hint where there are few, so that the quads they meet are not shuffled and sorted for them."""
+    return F.broadcast(rows) if rows.limit(SMALL + 1).count() <= SMALL else rows
 
 
 def escaped(value: Column) -> Column:
@@ -106,21 +129,21 @@ def merge(quads: DataFrame, mapping: DataFrame, keep_kind: str = "br") -> DataFr
 
     Objects are redirected; old entities go, and with them whatever they alone
     lead to, up to a resource of ``keep_kind``. What a surviving entity still
-    points to stays.
+    points to stays. ``quads`` may repeat statements, the result does not.
     """
     links = quads.filter("o_kind = 'iri'").select(F.col("s").alias("src"), F.col("o").alias("dst")).filter(F.col("src") != F.col("dst"))
-    inner = links.filter(~F.col("dst").rlike(f"/{keep_kind}/[0-9]+$"))
+    inner = written(links.filter(~(F.col("dst").contains(f"/{keep_kind}/") & F.col("dst").rlike(f"/{keep_kind}/[0-9]+$"))), "links")
     old = mapping.select(F.col("old").alias("src"))
     # What old entities lead to over links that do not enter a kept kind.
     reach = _walked(inner, old).select(F.col("dst").alias("node")).distinct()
-    # It is kept if something else points there.
+    # It is kept if something else points there, by a link of the same sort.
     doomed = reach.unionByName(old.select(F.col("src").alias("node"))).distinct()
-    held = links.join(doomed.withColumnRenamed("node", "src"), "src", "left_anti").join(reach.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("dst").alias("node")).distinct()
+    held = inner.join(doomed.withColumnRenamed("node", "src"), "src", "left_anti").join(reach.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("dst").alias("node")).distinct()
     gone = doomed.join(held, "node", "left_anti").unionByName(old.select(F.col("src").alias("node"))).distinct().withColumnRenamed("node", "s")
-    kept = quads.join(gone, "s", "left_anti")
+    kept = quads.join(_small(written(gone, "gone")), "s", "left_anti")
     to = mapping.select(F.col("old").alias("o"), "new")
-    moved = kept.join(to, "o", "left").withColumn("o", F.when(F.col("o_kind") == "iri", F.coalesce("new", "o")).otherwise(F.col("o"))).drop("new")
-    return moved.select(*quads.columns).dropDuplicates(["g", "s", "p", "o", "o_kind"])
+    moved = kept.join(_small(to), "o", "left").withColumn("o", F.when(F.col("o_kind") == "iri", F.coalesce("new", "o")).otherwise(F.col("o"))).drop("new")
+    return once(moved.select(*quads.columns))
 
 
 def _walked(edges: DataFrame, roots: DataFrame, rounds: int = 30) -> DataFrame:

@@ -91,7 +91,7 @@ def store_shards(quads: DataFrame, path: str, merge: bool = True) -> None:
     rows = with_shard(quads)
     if merge and exists(spark, path):  # the first time there is nothing to merge with
         old = spark.read.schema(rows.schema).parquet(path).select(*quads.columns, *keys).join(rows.select(*keys).distinct(), keys, "left_semi")
-        rows = written(rows.unionByName(old).dropDuplicates(["g", "s", "p", "o", "o_kind"]), "shards")
+        rows = written(rows.unionByName(old).distinct(), "shards")
     rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 

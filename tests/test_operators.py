@@ -81,6 +81,14 @@ def test_merge_cascades(spark):
     assert rows(graph.merge(data, mapping).select("s", "o")) == sorted([(b + "br/5", "stays"), (b + "br/2", b + "id/2"), (b + "id/2", "shared"), (b + "br/3", b + "br/9"), (b + "br/3", b + "br/3")])
 
 
+def test_merge_of_repeated_statements(spark):
+    b = "http://g/"
+    row = lambda s, o, kind="iri", dt=None: ("http://g/br/", b + s, "p", o, kind, dt)
+    data = spark.createDataFrame([row("br/3", b + "br/1"), row("br/3", b + "br/2"), row("br/3", b + "br/2"), row("br/3", "1", "lit"), row("br/3", "1", "lit", "int"), row("br/1", b + "id/1"), row("br/1", b + "id/1")], "g string, s string, p string, o string, o_kind string, o_dt string")
+    found = graph.merge(data, spark.createDataFrame([(b + "br/1", b + "br/2")], "old string, new string"))
+    assert sorted((r["o"], r["o_dt"]) for r in found.withColumn("o_dt", F.coalesce("o_dt", F.lit(""))).collect()) == [("1", ""), ("1", "int"), (b + "br/2", "")]
+
+
 def test_diff_and_apply_round_trip(spark):
     old, new = quads(spark, ("a", "1"), ("a", "2"), ("b", "3")), quads(spark, ("a", "1"), ("b", "4"), ("c", "5"))
     added, removed = graph.diff(new, old)

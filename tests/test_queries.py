@@ -80,3 +80,8 @@ def test_least_citing_work_sorts_no_rows(spark):
 
 def test_citations_are_made_distinct_once(spark):
     assert "Exchange hashpartitioning(citing" not in _plan(spark, "distinct_order_limit")
+
+
+def test_statements_are_made_distinct_without_sorting(spark):
+    assert "SortAggregate" not in _plan(spark, "merge_redirect")
+    assert "SortAggregate" not in _plan(spark, "quads_export")
