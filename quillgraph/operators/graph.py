@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.operators.algebra import first_by
 from quillgraph.schema import BASE, CLASSES, PREDICATES, expand
-from quillgraph.sources.workspace import written
+from quillgraph.sources.workspace import small, written
 
 
 def triples(df: DataFrame, subject: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
@@ -42,10 +42,6 @@ def as_set(*quads: DataFrame) -> DataFrame:
     return once(union(*quads))
 
 
-#: Rows of two strings that are broadcast at most (about 200 MB).
-SMALL = 1_000_000
-
-
 def once(quads: DataFrame) -> DataFrame:
     """``quads`` with set semantics; literals of two datatypes are two.
 
@@ -55,11 +51,6 @@ def once(quads: DataFrame) -> DataFrame:
     return quads.dropDuplicates([c for c in ("g", "s", "p", "o", "o_kind", "o_dt") if c in quads.columns])
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """With a broadcast hint where there are few, so that the quads they meet are not shuffled and sorted for them."""
-    return F.broadcast(rows) if rows.limit(SMALL + 1).count() <= SMALL else rows
-
-
 def escaped(value: Column) -> Column:
     """A literal's text as N-Triples has it."""
     out = value
@@ -140,9 +131,9 @@ def merge(quads: DataFrame, mapping: DataFrame, keep_kind: str = "br") -> DataFr
     doomed = reach.unionByName(old.select(F.col("src").alias("node"))).distinct()
     held = inner.join(doomed.withColumnRenamed("node", "src"), "src", "left_anti").join(reach.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("dst").alias("node")).distinct()
     gone = doomed.join(held, "node", "left_anti").unionByName(old.select(F.col("src").alias("node"))).distinct().withColumnRenamed("node", "s")
-    kept = quads.join(_small(written(gone, "gone")), "s", "left_anti")
+    kept = quads.join(small(written(gone, "gone")), "s", "left_anti")
     to = mapping.select(F.col("old").alias("o"), "new")
-    moved = kept.join(_small(to), "o", "left").withColumn("o", F.when(F.col("o_kind") == "iri", F.coalesce("new", "o")).otherwise(F.col("o"))).drop("new")
+    moved = kept.join(small(to), "o", "left").withColumn("o", F.when(F.col("o_kind") == "iri", F.coalesce("new", "o")).otherwise(F.col("o"))).drop("new")
     return once(moved.select(*quads.columns))
 
 

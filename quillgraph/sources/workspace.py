@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of one or two short strings that are broadcast at most (about 200 MB).
+SMALL = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(rows: DataFrame, most: int = SMALL) -> DataFrame:
+    """With a broadcast hint if there are few, so that what they meet is not shuffled and sorted for them."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at a path, in any file system that Spark reads."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -132,3 +132,13 @@ def test_partial_ratio_takes_the_blocks_of_difflib():
         assert mt.block_offsets(short, long) >= offsets
         best = max(difflib.SequenceMatcher(None, short, long[k : k + len(short)], autojunk=False).ratio() for k in offsets)
         assert mt.partial_ratio(a, b) == pytest.approx(100 if best > 0.995 else 100 * best)
+
+
+def test_index_of_asked_words(spark):
+    works = spark.createDataFrame([(1, "alpha beta beta gamma"), (2, "alpha delta"), (3, None), (4, ""), (2, "alpha delta")], "id int, bibref string")
+    asked = spark.createDataFrame([(1, "beta of the delta")], "query_id int, text string")
+    (whole, stats), (part, few) = mt.token_index(works), mt.token_index(works, queries=asked)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(part) == [r for r in rows(whole) if r[0] in ("beta", "delta")] and len(rows(part)) == 2
+    assert rows(few) == [r for r in rows(stats) if r[0] in ("beta", "delta")]
+    assert not [r for r in rows(whole) if r[0] == ""]
