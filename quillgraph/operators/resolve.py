@@ -133,15 +133,17 @@ def match_authors(authors: DataFrame, known: DataFrame) -> DataFrame:
     pairs = authors.alias("a").join(known.alias("k"), (F.col("a.br") == F.col("k.br")) & (F.col("a.family") == F.col("k.family")))
     cols = [F.col("a.br"), F.col("a.pos"), F.col("k.orcid"), F.col("a.given").alias("g1"), F.col("k.given").alias("g2"), F.col("a.family")]
     pairs = pairs.select(*cols).filter("orcid IS NOT NULL")
-    both = pairs.groupBy("br", "family").agg(F.countDistinct("pos").alias("n1"), F.countDistinct("orcid").alias("n2"))
-    pairs = pairs.join(both, ["br", "family"])
-    unique = pairs.filter("n1 = 1 AND n2 = 1").select("br", "pos", "orcid")
-    near = pairs.filter("(n1 > 1 OR n2 > 1) AND left(g1, 1) = left(g2, 1)").withColumn("d", (F.col("g1") != F.col("g2")).cast("int"))
-    least = lambda *keys: F.min("d").over(Window.partitionBy(*keys))
-    near = near.withColumns({"m1": least("br", "pos"), "m2": least("br", "orcid")}).filter("d = m1 AND d = m2")
-    ties = lambda *keys: F.count("*").over(Window.partitionBy(*keys))
-    near = near.withColumns({"c1": ties("br", "pos"), "c2": ties("br", "orcid")}).filter("c1 = 1 AND c2 = 1")
-    return unique.unionByName(near.select("br", "pos", "orcid"))
+    # Joined by work and family, so counting needs no shuffle; all that follows is within a work, and needs one.
+    name = Window.partitionBy("br", "family")
+    pairs = pairs.withColumns({"n1": F.size(F.collect_set("pos").over(name)), "n2": F.size(F.collect_set("orcid").over(name))})
+    pairs = pairs.withColumn("unique", (F.col("n1") == 1) & (F.col("n2") == 1))
+    near = ((F.col("n1") > 1) | (F.col("n2") > 1)) & (F.left("g1", F.lit(1)) == F.left("g2", F.lit(1)))
+    pairs = pairs.withColumn("d", F.when(near, (F.col("g1") != F.col("g2")).cast("int"))).filter("unique OR d IS NOT NULL")
+    pairs = pairs.select("br", "pos", "orcid", "unique", "d").repartition("br")
+    author, other = Window.partitionBy("br", "pos"), Window.partitionBy("br", "orcid")
+    pairs = pairs.withColumn("m1", F.min("d").over(author)).withColumn("m2", F.min("d").over(other)).filter("unique OR (d = m1 AND d = m2)")
+    pairs = pairs.withColumn("c2", F.count("d").over(other)).withColumn("c1", F.count("d").over(author))
+    return pairs.filter("unique OR (c1 = 1 AND c2 = 1)").select("br", "pos", "orcid")
 
 
 def containers(works: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -85,3 +85,7 @@ def test_citations_are_made_distinct_once(spark):
 def test_statements_are_made_distinct_without_sorting(spark):
     assert "SortAggregate" not in _plan(spark, "merge_redirect")
     assert "SortAggregate" not in _plan(spark, "quads_export")
+
+
+def test_pairs_of_authors_are_made_once(spark):
+    assert "Union" not in _plan(spark, "author_match")
