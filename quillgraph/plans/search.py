@@ -16,6 +16,7 @@ from quillgraph.functions import text as tx
 from quillgraph.functions.matching import all_terms
 from quillgraph.plans.corpus import type_iri
 from quillgraph.schema import BASE
+from quillgraph.sources.workspace import small
 
 # --- rules ---------------------------------------------------------------------------------------
 
@@ -194,12 +195,18 @@ def journal_of(c) -> DataFrame:
 
 def _described(entities: DataFrame, bound: DataFrame) -> DataFrame:
     """The entities that are bound; rows of the entities themselves are taken as they are, without a join."""
-    return bound if set(entities.columns) <= set(bound.columns) else entities.join(bound.select("iri").distinct(), "iri", "left_semi")
+    # Not a semi-join, which would be pushed below unions and sort what is bound once for each branch.
+    return bound if set(entities.columns) <= set(bound.columns) else entities.join(bound.select("iri").distinct(), "iri")
+
+
+def _whole(bound: DataFrame) -> bool:
+    """Whether whole entities are bound, and not only their names."""
+    return "iri" not in bound.columns or len(bound.columns) > 2
 
 
 def _of(rows: DataFrame, key: str, bound: DataFrame) -> DataFrame:
     """The rows about what is bound, so that only these are aggregated; all of them where whole entities are bound."""
-    return rows if "iri" not in bound.columns or len(bound.columns) > 2 else rows.join(bound.select(F.col("iri").alias(key)).distinct(), key, "left_semi")
+    return rows if _whole(bound) else rows.join(bound.select(F.col("iri").alias(key)).distinct(), key)
 
 
 def _literal(c, scheme: str, name: str) -> DataFrame:
@@ -239,7 +246,8 @@ def authors_in_order(c, bound: DataFrame | None = None) -> DataFrame:
     roles = c.role.filter("role = 'author'")
     roles = (roles if bound is None else _of(roles, "br", bound)).withColumn("chain", F.max("pos").over(last) - F.col("pos") + 1)
     names = c.agent.select(F.col("iri").alias("ra"), F.concat_ws(" ", "given", "family").alias("author"))
-    return roles.join(names, "ra").select("br", "author", F.col("ra").alias("author_iri"), "chain")
+    # The roles stay dealt by work, as the window left them, where the agents are few.
+    return roles.join(small(names), "ra").select("br", "author", F.col("ra").alias("author_iri"), "chain")
 
 
 def document(c, bound: DataFrame) -> DataFrame:
@@ -258,11 +266,19 @@ def document(c, bound: DataFrame) -> DataFrame:
     )
 
 
-def document_intext(c, bound: DataFrame) -> DataFrame:
-    """[CQ-4] Citing works (iri, cited) with the number of their pointers to the cited one, and the pointers."""
-    p = c.pointer.select(F.col("article").alias("iri"), F.col("book").alias("cited"), F.col("iri").alias("pointer"))
-    rows = bound.select("iri", "cited").join(p, ["iri", "cited"], "left").groupBy("iri", "cited").agg(F.countDistinct("pointer").alias("mentions"), F.array_join(F.array_sort(F.collect_set("pointer")), ";").alias("pointers"))
-    return document(c, bound).join(rows, "iri").select("iri", "title", "doi", "year", "journal", "author", "tot", "cited", "mentions", "pointers")
+def document_intext(c, bound: DataFrame | None = None) -> DataFrame:
+    """[CQ-4] Citing works (iri, cited), all of them or those that are bound, with the number of their pointers to the cited one, and the pointers."""
+    p = c.pointer.select(F.col("article").alias("iri"), F.col("book").alias("cited"), F.col("iri").alias("pointer"), F.lit(False).alias("is_bound"))
+    # A citation of nothing known has no pointers, even if some name no work.
+    p = (p if bound is None else _of(p, "iri", bound)).filter("iri IS NOT NULL AND cited IS NOT NULL")
+    pairs = (c.cites.select(F.col("citing").alias("iri"), "cited") if bound is None else bound.select("iri", "cited")).filter("iri IS NOT NULL").withColumns({"pointer": F.lit(None).cast("string"), "is_bound": F.lit(True)})
+    # Citations and pointers are dealt by work once, and sorted once: the join with the works needs neither again.
+    pair = Window.partitionBy("iri", "cited").orderBy(F.col("is_bound").desc())
+    rows = pairs.unionByName(p).repartition("iri")
+    rows = rows.withColumns({"found": F.collect_list("pointer").over(pair.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "at": F.row_number().over(pair)}).filter("at = 1 AND is_bound")
+    found = F.array_sort(F.array_distinct("found"))
+    rows = rows.select("iri", "cited", F.size(found).cast("long").alias("mentions"), F.array_join(found, ";").alias("pointers"))
+    return document(c, c.br if bound is None else bound).join(rows, "iri").select("iri", "title", "doi", "year", "journal", "author", "tot", "cited", "mentions", "pointers")
 
 
 def author(c, bound: DataFrame, distinct: bool = False) -> DataFrame:
