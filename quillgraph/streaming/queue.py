@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillgraph.operators.resolve import numbered
 from quillgraph.schema import DOCUMENT
-from quillgraph.sources.workspace import exists
+from quillgraph.sources.workspace import exists, written
 
 
 def documents(spark: SparkSession, folder: str, files_per_batch: int | None = None, archive: str | None = None, whole_files: bool = True) -> DataFrame:
@@ -28,10 +29,9 @@ def documents(spark: SparkSession, folder: str, files_per_batch: int | None = No
 
 def _table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A table, empty where there is none yet."""
-    empty = spark.createDataFrame([], ddl)
-    if not exists(spark, path):
-        return empty
-    return spark.read.schema(empty.schema).parquet(path)
+    if exists(spark, path):
+        return spark.read.schema(ddl).parquet(path)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)])
 
 
 class Ingest:
@@ -45,21 +45,23 @@ class Ingest:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         path = lambda n: f"{self.root}/{n}/batch={batch_id}"
-        batch = batch.withColumn("key", F.coalesce(*self.IDS)).persist()
+        batch = batch.withColumn("key", F.coalesce(*self.IDS))
         stored = _table(spark, f"{self.root}/stored", "id string, batch int").filter(F.col("batch") != batch_id).select("id")
-        ids = batch.select("key", F.explode(F.array_compact(F.array(*self.IDS))).alias("id"))
-        known = ids.join(stored, "id", "left_semi").select("key").distinct()
-        fresh = batch.join(known, "key", "left_anti").dropDuplicates(["key"])
-        bad = F.col("key").isNull() | F.col("doi").isNull() | F.coalesce(F.exists("references", lambda r: F.coalesce(*[r[n] for n in ("bibentry", "doi", "pmid", "pmcid", "url", "xmlid")]).isNull()), F.lit(False))
-        failed = batch.filter("key IS NULL").unionByName(fresh.filter(bad & F.col("key").isNotNull()))
-        done = fresh.filter(~bad)
+        fresh = batch.filter("key IS NOT NULL")
+        if not stored.isEmpty():
+            ids = fresh.select("key", F.explode(F.array_compact(F.array(*self.IDS))).alias("id"))
+            fresh = fresh.join(ids.join(stored, "id", "left_semi").select("key").distinct(), "key", "left_anti")
+        bad = F.col("doi").isNull() | F.coalesce(F.exists("references", lambda r: F.coalesce(*[r[n] for n in ("bibentry", "doi", "pmid", "pmcid", "url", "xmlid")]).isNull()), F.lit(False))
+        # Written, so that what follows neither sorts the batch again nor keeps another one of equal keys than before.
+        fresh = written(fresh.dropDuplicates(["key"]).withColumn("bad", bad), "queue")
+        failed = batch.filter("key IS NULL").unionByName(fresh.filter("bad").drop("bad"))
+        done = fresh.filter("NOT bad").drop("bad")
         last = _table(spark, f"{self.root}/done", "num long, batch int").filter(F.col("batch") != batch_id).agg(F.coalesce(F.max("num"), F.lit(0)).alias("last")).withColumn("kind", F.lit("br"))
         numbers = numbered(done.withColumn("kind", F.lit("br")), last, "kind", [F.col("key")]).drop("kind")
         # Each batch has folders of its own, written over if it comes again after a failure.
         numbers.write.mode("overwrite").parquet(path("done"))
         failed.write.mode("overwrite").parquet(path("failed"))
         done.select(F.explode(F.array_compact(F.array(*self.IDS))).alias("id")).distinct().write.mode("overwrite").parquet(path("stored"))
-        batch.unpersist()
 
 
 def run(spark: SparkSession, folder: str, root: str, files_per_batch: int | None = None, stop_marker: str | None = None, whole_files: bool = True) -> int:
