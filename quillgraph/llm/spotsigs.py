@@ -87,22 +87,27 @@ def similar_pairs(docs: DataFrame, least: float = LIKENESS, anchors: list[str] |
     """
     anchors = anchors_of(docs) if anchors is None else anchors
     sets = with_signatures(docs.select("doc_id", "text"), {"text": "sigs"}, anchors).select("doc_id", F.md5(F.array_join("sigs", "").cast("binary")).alias("class_key"), "sigs")
-    sets = written(sets, "spotsigs")
-    classes = written(sets.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.first("sigs").alias("sigs")), "spotsig-classes")
+    # Signatures travel as numbers of 4 bytes, classes under a short number of their own.
+    sets = written(sets.withColumn("sigs", F.transform("sigs", lambda s: (F.conv(s, 16, 10).cast("long") - (1 << 31)).cast("int"))), "spotsigs")
+    classes = written(sets.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.first("sigs").alias("sigs")).withColumn("c", F.monotonically_increasing_id()), "spotsig-classes")
     # Written, so that joins by class shuffle both sides and can split a class of very many documents.
     members = sets.select("doc_id", F.col("class_key").alias("__k")).join(classes.select("class_key", "class_id"), F.col("__k") == F.col("class_key")).select("doc_id", "class_id", "class_key")
-    sized = classes.filter(F.size("sigs") > 0).select("class_key", "sigs", F.size("sigs").alias("n")).withColumn("part", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least)) + 1e-9))
-    posted = sized.select("class_key", "n", "part", F.explode("sigs").alias("sig"))
-    # Rarest first: counted over all classes; a set posts only as many as it may miss, and one more.
-    known = written(posted.groupBy("sig").agg(F.count("*").alias("k")).withColumnRenamed("sig", "__sig"), "spotsig-counts")
-    counted = posted.join(known, F.col("sig") == F.col("__sig")).drop("__sig")
-    rare = counted.withColumn("at", F.row_number().over(Window.partitionBy("class_key").orderBy("k", "sig"))).filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
-    rare = written(rare.select("class_key", "n", "part", "sig"), "spotsig-prefixes")
-    other = rare.select(F.col("sig").alias("__sig"), F.col("class_key").alias("b0"), F.col("n").alias("nb"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("__part"), F.col("part").alias("pb"))
-    near = rare.join(other, (F.col("sig") == F.col("__sig")) & (F.col("part") == F.col("__part"))).filter((F.col("class_key") != F.col("b0")) & ((F.col("pb") > F.col("part")) | (F.col("class_key") < F.col("b0"))))
-    near = near.filter(F.least("n", "nb") >= F.greatest("n", "nb") * least - 1e-9).select(F.least("class_key", "b0").alias("a_key"), F.greatest("class_key", "b0").alias("b_key")).distinct()
-    side = lambda name: classes.select(F.col("class_key").alias(f"{name}_key"), F.col("class_id").alias(name), F.col("sigs").alias(f"sigs_{name}"))
-    pairs = near.join(side("a"), "a_key").join(side("b"), "b_key").select("a", "b", likeness(F.col("sigs_a"), F.col("sigs_b"), least).alias("likeness"), "a_key", "b_key").filter(F.col("likeness") >= least)
+    sized = classes.filter(F.size("sigs") > 0).select("c", F.size("sigs").alias("n"), "sigs")
+    # Rarest first: counted over all classes; a set posts only as many as it may miss, and one more. What only one
+    # class has comes first of all and meets nothing, so those with others are numbered from behind it.
+    known = written(sized.select(F.explode("sigs").alias("__sig")).groupBy("__sig").agg(F.count("*").alias("k")).filter("k > 1"), "spotsig-counts")
+    shared = sized.select("c", "n", F.explode("sigs").alias("sig")).join(known, F.col("sig") == F.col("__sig")).drop("__sig")
+    own = Window.partitionBy("c")
+    shared = shared.withColumn("at", F.row_number().over(own.orderBy("k", "sig")) + F.col("n") - F.count("*").over(own))
+    rare = written(shared.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("c", "n", "sig"), "spotsig-prefixes")
+    rare = rare.withColumn("part", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least)) + 1e-9))
+    other = rare.select(F.col("sig").alias("__sig"), F.col("c").alias("d"), F.col("n").alias("nd"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("__part"), F.col("part").alias("pd"))
+    near = rare.join(other, (F.col("sig") == F.col("__sig")) & (F.col("part") == F.col("__part"))).filter((F.col("c") != F.col("d")) & ((F.col("pd") > F.col("part")) | (F.col("c") < F.col("d"))))
+    near = near.filter(F.least("n", "nd") >= F.greatest("n", "nd") * least - 1e-9).select(F.least("c", "d").alias("__x"), F.greatest("c", "d").alias("__y")).distinct()
+    side = lambda name: classes.select(F.col("c").alias(f"__{name}"), F.struct("class_key", "class_id").alias(name), F.col("sigs").alias(f"sigs_{name}"))
+    pairs = near.join(side("x"), "__x").join(side("y"), "__y").select("x", "y", likeness(F.col("sigs_x"), F.col("sigs_y"), least).alias("likeness")).filter(F.col("likeness") >= least)
+    # By the order of the keys, which start the structs.
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "likeness").select(F.col("x.class_id").alias("a"), F.col("y.class_id").alias("b"), "likeness", F.col("x.class_key").alias("a_key"), F.col("y.class_key").alias("b_key"))
     return members, pairs
 
 
