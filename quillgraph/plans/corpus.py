@@ -30,6 +30,11 @@ class Corpus:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def size(self) -> int:
+        """Rows of the largest table; how far joins are spread depends on it."""
+        return self.table("lineitem").count()
+
     @cached_property
     def journal(self) -> DataFrame:
         t = self.table("region")

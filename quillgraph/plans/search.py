@@ -16,7 +16,7 @@ from quillgraph.functions import text as tx
 from quillgraph.functions.matching import all_terms
 from quillgraph.plans.corpus import type_iri
 from quillgraph.schema import BASE
-from quillgraph.sources.workspace import small
+from quillgraph.sources.workspace import dealt, small
 
 # --- rules ---------------------------------------------------------------------------------------
 
@@ -244,7 +244,8 @@ def authors_in_order(c, bound: DataFrame | None = None) -> DataFrame:
     """br, author, author_iri, chain of all works or of those that are bound: one row per role; chain counts the roles from it to the end, so the first author has most."""
     last = Window.partitionBy("br")
     roles = c.role.filter("role = 'author'")
-    roles = (roles if bound is None else _of(roles, "br", bound)).withColumn("chain", F.max("pos").over(last) - F.col("pos") + 1)
+    roles = roles if bound is None else _of(roles, "br", bound)
+    roles = dealt(roles, "br", c.size if bound is None or _whole(bound) else 0).withColumn("chain", F.max("pos").over(last) - F.col("pos") + 1)
     names = c.agent.select(F.col("iri").alias("ra"), F.concat_ws(" ", "given", "family").alias("author"))
     # The roles stay dealt by work, as the window left them, where the agents are few.
     return roles.join(small(names), "ra").select("br", "author", F.col("ra").alias("author_iri"), "chain")
@@ -252,7 +253,7 @@ def authors_in_order(c, bound: DataFrame | None = None) -> DataFrame:
 
 def document(c, bound: DataFrame) -> DataFrame:
     """[CQ-5] One row per work and author, without an author one row; tot orders the authors."""
-    rows = _described(c.br, bound).join(_literal(c, "doi", "doi"), "iri", "left")
+    rows = dealt(_described(c.br, bound), "iri", c.size if _whole(bound) else 0).join(_literal(c, "doi", "doi"), "iri", "left")
     cited = _of(c.cites, "cited", bound).groupBy(F.col("cited").alias("iri")).agg(F.countDistinct("citing").alias("in_cits"))
     where = journal_of(c).select(F.col("work").alias("iri"), "journal_iri", "volume")
     names = c.journal.select(F.col("iri").alias("journal_iri"), F.col("title").alias("journal"))
@@ -274,7 +275,7 @@ def document_intext(c, bound: DataFrame | None = None) -> DataFrame:
     pairs = (c.cites.select(F.col("citing").alias("iri"), "cited") if bound is None else bound.select("iri", "cited")).filter("iri IS NOT NULL").withColumns({"pointer": F.lit(None).cast("string"), "is_bound": F.lit(True)})
     # Citations and pointers are dealt by work once, and sorted once: the join with the works needs neither again.
     pair = Window.partitionBy("iri", "cited").orderBy(F.col("is_bound").desc())
-    rows = pairs.unionByName(p).repartition("iri")
+    rows = dealt(pairs.unionByName(p).repartition("iri"), "iri", c.size if bound is None else 0)
     rows = rows.withColumns({"found": F.collect_list("pointer").over(pair.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "at": F.row_number().over(pair)}).filter("at = 1 AND is_bound")
     found = F.array_sort(F.array_distinct("found"))
     rows = rows.select("iri", "cited", F.size(found).cast("long").alias("mentions"), F.array_join(found, ";").alias("pointers"))

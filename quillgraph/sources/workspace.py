@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one or two short strings that are broadcast at most (about 200 MB).
 SMALL = 1_000_000
+#: Rows of the largest table that a task of a chain of joins should meet.
+EACH = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +43,12 @@ def small(rows: DataFrame, most: int = SMALL) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
+def dealt(rows: DataFrame, key: str, total: int, each: int | None = None) -> DataFrame:
+    """``rows`` dealt by ``key`` over as many partitions as ``total`` rows need; as they are where the session has enough."""
+    n = total // (each or EACH)
+    return rows if n <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartition(n, key)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at a path, in any file system that Spark reads."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
